@@ -113,54 +113,60 @@ def carry_forward(
     )
 
 
-def effective_lookup(
-    needed: DataFrame,
+def latest_effective(
+    asked: DataFrame,
     dim: DataFrame,
     keys: list[str],
-    day: str,
+    at: str,
     effective: str,
     value: str,
     strict: bool = True,
     out: str | None = None,
 ) -> DataFrame:
-    """Add the value of the latest ``dim`` row effective before each day.
+    """Add to every row of ``asked`` the value of the latest ``dim`` row effective before it.
 
-    ``strict`` excludes a row effective on the day itself. Days without such a row get
-    NULL. Only the distinct (keys, day) pairs take part in the lookup, so a window
-    group holds calendar days, not facts; the result is then joined back on equality.
+    ``strict`` excludes a row effective on ``at`` itself; without such a row the value is
+    NULL. The rows of both sides are ordered along one axis per key, so ``asked`` should
+    be a calendar: use ``effective_lookup`` for facts.
     """
-    out = out or value
-    side = F.lit(0 if strict else 1)
-    asked = (
-        needed.where(F.col(day).isNotNull())
-        .select(*keys, F.col(day).alias("_at"))
-        .distinct()
-        .withColumns({"_side": side, "_row": F.lit(None)})
-    )
+    mine, theirs = (0, 1) if strict else (1, 0)
     rows = (
         dim.where(F.col(effective).isNotNull())
         .groupBy(*keys, F.col(effective).cast("timestamp_ntz").alias("_at"))
         .agg(F.max(F.struct(value)).alias("_row"))
-        .withColumn("_side", F.lit(1 if strict else 0))
+        .withColumn("_side", F.lit(theirs))
     )
-    asked = asked.withColumn("_at", F.col("_at").cast("timestamp_ntz"))
-    merged = asked.select(*keys, "_at", "_side", F.col("_row").cast(rows.schema["_row"].dataType))
-    merged = merged.unionByName(rows.select(*keys, "_at", "_side", "_row"))
+    merged = asked.withColumns(
+        {"_at": F.col(at).cast("timestamp_ntz"), "_side": F.lit(mine)}
+    ).unionByName(rows, allowMissingColumns=True)
     w = Window.partitionBy(*keys).orderBy("_at", "_side").rowsBetween(*_UP_TO)
-    found = (
-        merged.withColumn("_hit", F.last("_row", ignorenulls=True).over(w))
-        .where(F.col("_side") == side)
-        .select(*keys, "_at", F.col("_hit")[value].alias(out))
-    )
-    kept = [c for c in needed.columns if c != out]
     return (
-        needed.withColumn("_at", F.col(day).cast("timestamp_ntz"))
-        .drop(*([out] if out in needed.columns else []))
-        .join(found, [*keys, "_at"], "left")
-        .select(*kept, out)
+        merged.withColumn("_hit", F.last("_row", ignorenulls=True).over(w))
+        .where(F.col("_side") == mine)
+        .select(*asked.columns, F.col("_hit")[value].alias(out or value))
     )
 
 
+def effective_lookup(
+    facts: DataFrame,
+    dim: DataFrame,
+    keys: list[str],
+    day: str,
+    effective: str,
+    value: str,
+    strict: bool = True,
+    out: str | None = None,
+) -> DataFrame:
+    """``latest_effective`` for facts of any number.
+
+    Only the distinct (keys, day) pairs take part in the lookup, so a window group holds
+    calendar days however many facts one key has; the result is joined back on equality.
+    """
+    asked = facts.where(F.col(day).isNotNull()).select(*keys, day).distinct()
+    found = latest_effective(asked, dim, keys, day, effective, value, strict, out)
+    return facts.join(found, [*keys, day], "left").select(*facts.columns, out or value)
+
+
 def month_factors(needed: DataFrame, factors: DataFrame, day: str, names: list[str]) -> DataFrame:
     """Add the factors of each day's month.
 

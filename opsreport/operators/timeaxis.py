@@ -6,10 +6,10 @@ from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from opsreport.operators.asof import effective_lookup
+from opsreport.operators.asof import latest_effective
 
 # Fixed value: days to look back when no range is asked for.
 DEFAULT_LOOK_BACK = 16
@@ -78,65 +78,50 @@ def date_span(first: Column, last: Column) -> Column:
     return F.sequence(first.cast("date"), last.cast("date"))
 
 
-def month_days(dates: DataFrame, day: str = "report_date") -> DataFrame:
-    """Each distinct month of ``dates``, spread into one row per day of it."""
-    months = dates.select(F.trunc(day, "MM").alias("month")).distinct()
-    return months.select(
-        "month", F.explode(date_span(F.col("month"), F.last_day("month"))).alias("d")
-    ).select(F.col("d").cast("timestamp_ntz").alias("day"), F.col("month"))
+def month_edges(dates: DataFrame, day: str = "report_date") -> DataFrame:
+    """Each distinct month of ``dates``, spread into the days that open or close a day of it."""
+    months = dates.select(F.trunc(day, "MM").alias("_first")).distinct()
+    after = F.date_add(F.last_day("_first"), 1)
+    edges = months.select("_first", F.explode(date_span(F.col("_first"), after)).alias("_edge"))
+    return edges.select(
+        F.col("_first").cast("timestamp_ntz").alias("month"),
+        F.col("_edge").cast("timestamp_ntz").alias("day"),
+    )
 
 
 def plus_minutes(ts: Column, minutes: Column) -> Column:
     return ts + F.make_dt_interval(F.lit(0), F.lit(0), minutes.cast("int"))
 
 
-def period_spine(days: DataFrame, shifts: DataFrame, day: str = "day") -> DataFrame:
-    """Shift-day bounds of every day: ``start``, ``end`` and calendar ``hours``.
+def period_spine(dates: DataFrame, shifts: DataFrame, date_column: str = "report_date") -> DataFrame:
+    """Shift days of every month of ``dates``: ``month``, ``day``, ``start``, ``end``, ``hours``.
 
-    A day starts at the offset effective strictly before it and ends where the next
-    day starts. Without such an offset the bound is NULL.
+    A day starts at the offset effective strictly before it and ends where the next day
+    starts; without such an offset the bound is NULL. ``floor`` is how far repairs may look
+    back: one month before the start of the month, shifted where an offset is in force.
+    Every window here runs over the calendar.
     """
-    first_shift = shifts.where(F.col("shift_order") == 1).select("effective", "start_minutes")
-    both = days.withColumns(
+    first_shift = shifts.where(F.col("shift_order") == 1).withColumn("_all", F.lit(1))
+    edges = month_edges(dates, date_column).withColumn("_all", F.lit(1))
+    edges = latest_effective(
+        edges, first_shift, ["_all"], "day", "effective", "start_minutes", out="_open"
+    )
+    along = Window.partitionBy("month").orderBy("day")
+    edges = edges.withColumns(
         {
-            "_all": F.lit(1),
-            "_next": F.col(day) + F.expr("INTERVAL '1' DAY"),
+            "start": plus_minutes(F.col("day"), F.col("_open")),
+            "_close": F.lead("_open").over(along),
+            "_month_start": F.first("_open").over(along),
         }
     )
-    first_shift = first_shift.withColumn("_all", F.lit(1))
-    # Both edges of every day are looked up in one pass over the calendar.
-    edges = both.select("_all", F.col(day).alias("_edge")).union(both.select("_all", "_next"))
-    edges = effective_lookup(
-        edges.distinct(), first_shift, ["_all"], "_edge", "effective", "start_minutes"
-    )
-    opens = edges.select(F.col("_edge").alias(day), F.col("start_minutes").alias("_open"))
-    closes = edges.select(F.col("_edge").alias("_next"), F.col("start_minutes").alias("_close"))
-    start = plus_minutes(F.col(day), F.col("_open"))
-    end = plus_minutes(F.col("_next"), F.col("_close"))
+    end = plus_minutes(F.col("day") + F.expr("INTERVAL '1' DAY"), F.col("_close"))
     minutes = F.lit(24 * 60) + F.col("_close") - F.col("_open")
-    return (
-        both.join(opens, day, "left")
-        .join(closes, "_next", "left")
-        .select(
-            *days.columns,
-            start.alias("start"),
-            end.alias("end"),
-            (minutes / F.lit(60.0)).alias("hours"),
-        )
-    )
-
-
-def shifted_or_same(bounds: DataFrame, shifts: DataFrame, bound: str) -> DataFrame:
-    """Move a bound by the offset effective before it; keep it where there is none."""
-    first_shift = shifts.where(F.col("shift_order") == 1).withColumn("_all", F.lit(1))
-    found = effective_lookup(
-        bounds.withColumn("_all", F.lit(1)),
-        first_shift,
-        ["_all"],
-        bound,
-        "effective",
-        "start_minutes",
-        out="_offset",
+    month_start = F.coalesce(plus_minutes(F.col("month"), F.col("_month_start")), F.col("month"))
+    return edges.where(F.trunc("day", "MM") == F.to_date("month")).select(
+        "month",
+        "day",
+        "start",
+        end.alias("end"),
+        (minutes / F.lit(60.0)).alias("hours"),
+        (month_start - F.expr("INTERVAL '1' MONTH")).alias("floor"),
     )
-    moved = F.coalesce(plus_minutes(F.col(bound), F.col("_offset")), F.col(bound))
-    return found.withColumn(bound, moved).drop("_all", "_offset")

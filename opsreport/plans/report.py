@@ -16,16 +16,11 @@ from pyspark.sql import functions as F
 
 from opsreport.functions.clean import at
 from opsreport.functions.metrics import silver_ounces
-from opsreport.operators.asof import effective_lookup
+from opsreport.operators.asof import latest_effective
 from opsreport.operators.intervals import BROADCAST_DAYS
 from opsreport.operators.pivots import area_plan_pivot, kpi_pivot, production_plan_pivot
 from opsreport.operators.readings import crusher_feed, mill_production
-from opsreport.operators.timeaxis import (
-    dates_frame,
-    month_days,
-    period_spine,
-    shifted_or_same,
-)
+from opsreport.operators.timeaxis import dates_frame, period_spine
 from opsreport.plans.columns import report_columns
 from opsreport.sources.codes import AREAS
 
@@ -33,19 +28,6 @@ READING_TABLES = ("scale_readings", "mill_readings", "particle_size", "concentra
 DAY_TABLES = ("shipments", "area_plans", "production_plans", "daily_factor", "downtime_kpis")
 
 
-def report_spine(dates: DataFrame, shifts: DataFrame) -> DataFrame:
-    """Shift days of all months of the report dates, with the look-back ``floor``.
-
-    The floor is one month before the shifted start of the month.
-    """
-    spine = period_spine(month_days(dates), shifts)
-    months = spine.select(F.col("month").cast("timestamp_ntz").alias("floor"), "month").distinct()
-    back = shifted_or_same(months, shifts, "floor").withColumn(
-        "floor", F.col("floor") - F.expr("INTERVAL '1' MONTH")
-    )
-    return spine.join(back, "month")
-
-
 def pinned(calendar: DataFrame, days: int) -> DataFrame:
     """A calendar table worked out once and held in the plan as literal rows.
 
@@ -106,7 +88,7 @@ def area_rates(dates: DataFrame, rates: DataFrame) -> DataFrame:
     areas = F.explode(F.array(*[F.lit(a.code) for a in AREAS.values()]))
     asked = dates.select("report_date", areas.alias("area"))
     rates = rates.withColumn("area", F.trim("area"))
-    found = effective_lookup(
+    found = latest_effective(
         asked, rates, ["area"], "report_date", "effective", "rate", strict=False
     )
     return found.groupBy("report_date").agg(
@@ -127,13 +109,12 @@ def day_facts(
         raise ValueError("no report dates")
     asked = dates_frame(spark, dates)
     days = 31 * len({(d.year, d.month) for d in dates})
-    spine = pinned(report_spine(asked, inputs["shifts"]), days)
+    spine = pinned(period_spine(asked, inputs["shifts"]), days)
     inputs = narrowed(inputs, spine, dates)
     small = 31 * len(dates) <= BROADCAST_DAYS
 
-    grid = asked.withColumn("month", F.trunc("report_date", "MM")).join(
-        spine.select("month", "day", "hours"), "month"
-    )
+    month = F.trunc("report_date", "MM").cast("timestamp_ntz")
+    grid = asked.withColumn("month", month).join(spine.select("month", "day", "hours"), "month")
     grid = with_shipments(grid.drop("month"), inputs["shipments"], small)
     actuals = [
         crusher_feed(inputs["scale_readings"], inputs["daily_factor"], spine, days),

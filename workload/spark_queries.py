@@ -21,6 +21,7 @@ from opsreport.operators.accumulate import (
 )
 from opsreport.operators.asof import carry_forward, effective_lookup, month_factors
 from opsreport.operators.consolidate import consolidate, limit_dates, summarize, union_by_name
+from opsreport.operators.intervals import assign_period
 from opsreport.operators.pivots import area_plan_pivot, kpi_pivot, production_plan_pivot
 from opsreport.operators.readings import (
     attach_grades,
@@ -31,11 +32,11 @@ from opsreport.operators.readings import (
     mill_readings,
     valid_grade,
 )
-from opsreport.operators.timeaxis import date_span, month_days, period_spine
+from opsreport.operators.timeaxis import date_span, period_spine
 from opsreport.operators.treatment import treat
 from opsreport.plans.columns import SCENARIO_SUFFIX, accumulated_columns, actual_columns
 from opsreport.plans.columns import plan_columns
-from opsreport.plans.report import area_rates, day_facts, plant_report, report_spine
+from opsreport.plans.report import area_rates, day_facts, plant_report
 from opsreport.sources.codes import MOISTURE
 from opsreport.sources.snapshots import read_snapshots, write_consolidated, write_snapshot
 from workload.standins import plant, standin, tables
@@ -46,11 +47,16 @@ BUDGET = 2
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def half_up(x: Column, digits: int) -> Column:
+    """Rounding that engines agree on: a hair of tolerance lifts what lies just below a tie."""
+    return F.floor(x * 10.0**digits + 0.5001) / 10.0**digits
+
+
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     """Doubles rounded, so that the order of summation does not show."""
     return df.select(
         [
-            F.round(F.col(f"`{f.name}`"), digits).alias(f.name)
+            half_up(F.col(f"`{f.name}`"), digits).alias(f.name)
             if isinstance(f.dataType, T.DoubleType)
             else F.col(f"`{f.name}`")
             for f in df.schema
@@ -62,7 +68,7 @@ def _spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shift days of every month that has events."""
     events = tables(spark, sf_dir, "events")["events"]
     months = events.select(F.to_date("ts").alias("report_date"))
-    return report_spine(months, standin(spark, sf_dir, "shifts"))
+    return period_spine(months, standin(spark, sf_dir, "shifts"))
 
 
 def _feed(spark: SparkSession, sf_dir: str, spine: DataFrame) -> DataFrame:
@@ -195,14 +201,12 @@ def grade_pivot_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mill_readings_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("mill_readings", "particle_size", "concentrate", "assays")
     mill, size, conc, assays = (standin(spark, sf_dir, n) for n in names)
-    return rounded(mill_readings(mill, size, conc, assays.where(is_assay(MOISTURE))))
+    return rounded(mill_readings(mill, size, conc, assays.where(is_assay(MOISTURE))), 2)
 
 
 def attach_grades_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hour of a reading with its seven repaired and adjusted grades."""
     spine = _spine(spark, sf_dir)
-    from opsreport.operators.intervals import assign_period
-
     hours = standin(spark, sf_dir, "mill_readings").select("ts").distinct()
     placed = assign_period(hours, spine.select("day", "start", "end", "floor")).drop("start", "end")
     out = attach_grades(
