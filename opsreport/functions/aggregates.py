@@ -23,14 +23,6 @@ def positive_weighted_mean(value: Column | str, weight: Column | str) -> Column:
     return ratio(F.sum(v * w), F.sum(F.when(v > 0, w).otherwise(0.0)))
 
 
-def sum_when(condition: Column, value: Column | str) -> Column:
-    return F.sum(F.when(condition, col(value)).otherwise(0.0))
-
-
-def avg_when(condition: Column, value: Column | str) -> Column:
-    return F.avg(F.when(condition, col(value)))
-
-
 def first_nonzero(value: str, dtype: T.DataType, priority: Column) -> Column:
     """Value with the highest priority that is neither NULL nor zero.
 

@@ -1,7 +1,8 @@
 """Entity-attribute tables turned into one row per day.
 
-Every pivot is a single ``groupBy`` with conditional aggregates: one scan, map-side
-partial sums, and one shuffled row per day and task.
+Every pivot works in two steps. First the rows are summed up by day, entity and
+attribute: few aggregates per row, combined on the map side. Then the groups, of which
+a day has a handful, are spread into columns.
 """
 
 from __future__ import annotations
@@ -9,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsreport.functions.aggregates import avg_when, sum_when
 from opsreport.functions.clean import or_zero, trimmed_eq
 from opsreport.functions.metrics import external_share
 from opsreport.sources.codes import (
@@ -23,7 +23,15 @@ from opsreport.sources.codes import (
 )
 
 
-def _sum_where(member: Column, condition: Column, value: Column) -> Column:
+def label_of(c: str, labels: dict[str, str]) -> Column:
+    """Our name for a stored label; NULL for any other label."""
+    chosen = F.lit(None).cast("string")
+    for name, label in labels.items():
+        chosen = F.when(trimmed_eq(c, label), name).otherwise(chosen)
+    return chosen
+
+
+def sum_where(member: Column, condition: Column, value: Column) -> Column:
     """Sum over the member rows that meet the condition.
 
     Zero when there are member rows but none meets it, NULL without member rows.
@@ -31,77 +39,100 @@ def _sum_where(member: Column, condition: Column, value: Column) -> Column:
     return F.sum(F.when(member, F.when(condition, value).otherwise(0.0)))
 
 
-def kpi_hours(orders: tuple[str, ...]) -> Column:
-    return trimmed_eq("kpi_type", HOURS_TYPE) & F.trim("kpi_order").isin(*orders)
+def only(condition: Column, value: Column) -> Column:
+    """The value of the single group that meets the condition."""
+    return F.max(F.when(condition, value))
 
 
-def kpi_share(order: str, description: str) -> Column:
-    return (
-        trimmed_eq("kpi_type", KPI_TYPE)
-        & trimmed_eq("kpi_order", order)
-        & trimmed_eq("kpi_description", description)
-    )
+def kpi_measure() -> Column:
+    """Which measure a downtime row belongs to; NULL for rows of no interest."""
+    hours = trimmed_eq("kpi_type", HOURS_TYPE)
+    chosen = F.lit(None).cast("string")
+    for name, orders in HOUR_ORDERS.items():
+        chosen = F.when(hours & F.trim("kpi_order").isin(*orders), name).otherwise(chosen)
+    for name, (order, text) in KPI_ORDERS.items():
+        row = (
+            trimmed_eq("kpi_type", KPI_TYPE)
+            & trimmed_eq("kpi_order", order)
+            & trimmed_eq("kpi_description", text)
+        )
+        chosen = F.when(row, name).otherwise(chosen)
+    return chosen
 
 
 def kpi_pivot(kpis: DataFrame, day: str = "day") -> DataFrame:
     """Hours and ratios of the downtime KPIs, ``<area>_<measure>`` per day.
 
-    Stop hours are only reported for the mill.
+    Hours are summed, ratios averaged. Stop hours are only reported for the mill.
     """
-    value = F.col("kpi_value")
+    areas = {name: area.code for name, area in AREAS.items()}
+    groups = (
+        kpis.select(
+            day,
+            label_of("area", areas).alias("_area"),
+            kpi_measure().alias("_measure"),
+            "kpi_value",
+        )
+        .where(F.col("_area").isNotNull())
+        .groupBy(day, "_area", "_measure")
+        .agg(F.sum("kpi_value").alias("_sum"), F.avg("kpi_value").alias("_mean"))
+    )
     cols = []
-    for area, names in AREAS.items():
-        member = trimmed_eq("area", names.code)
-        for measure, orders in HOUR_ORDERS.items():
-            if area == "mill" or not measure.startswith("stop_"):
-                cols.append(
-                    _sum_where(member, kpi_hours(orders), value).alias(f"{area}_{measure}")
-                )
-        for measure, (order, text) in KPI_ORDERS.items():
-            cols.append(
-                avg_when(member & kpi_share(order, text), value).alias(f"{area}_{measure}")
-            )
-    return kpis.groupBy(day).agg(*cols)
+    for area in areas:
+        member = F.col("_area") == area
+        for m in HOUR_ORDERS:
+            if area == "mill" or not m.startswith("stop_"):
+                hours = sum_where(member, F.col("_measure") == m, F.col("_sum"))
+                cols.append(hours.alias(f"{area}_{m}"))
+        for m in KPI_ORDERS:
+            ratio = only(member & (F.col("_measure") == m), F.col("_mean"))
+            cols.append(ratio.alias(f"{area}_{m}"))
+    return groups.groupBy(day).agg(*cols)
 
 
 def of_type(plan_type: int | None) -> Column:
-    """Rows of one plan type; never true without a type."""
-    return F.col("plan_type") == F.lit(plan_type).cast("int")
+    """Groups of one plan type; never true without a type."""
+    return F.col("_type") == F.lit(plan_type).cast("int")
 
 
-def current_version(plans: DataFrame) -> DataFrame:
+def current_version(plans: DataFrame, plan_type: int | None) -> DataFrame:
+    """Rows of the plan version that counts, with ``_type`` NULL for types nobody asks for."""
     for name, version in PLAN_VERSION.items():
         plans = plans.where(F.col(name) == version)
-    return plans
+    wanted = [t for t in scenarios(plan_type).values() if t is not None]
+    return plans.withColumn("_type", F.when(F.col("plan_type").isin(*wanted), F.col("plan_type")))
 
 
-# Plan measures that are averaged, and where they come from.
-_AREA_MEANS = ("availability", "utilisation", "productivity")
+AREA_MEANS = ("availability", "utilisation", "productivity")
+MILL_MEANS = ("scheduled", "corrective", "external")
 
 
 def area_plan_pivot(
     plans: DataFrame, plan_type: int | None = None, day: str = "day"
 ) -> DataFrame:
     """Area plans, ``<area>_<measure>_<scenario>`` per day."""
-    shares = {
-        "scheduled": F.col("scheduled"),
-        "corrective": F.col("corrective"),
-        "external": external_share(*[F.col(c) for c in ("c14", "c15", "c16", "c17")]),
-    }
+    areas = {name: area.plan for name, area in AREAS.items()}
+    external = external_share(*[F.col(c) for c in ("c14", "c15", "c16", "c17")])
+    groups = (
+        current_version(plans, plan_type)
+        .withColumns({"_area": label_of("plan_name", areas), "external": external})
+        .where(F.col("_area").isNotNull())
+        .groupBy(day, "_area", "_type")
+        .agg(
+            F.sum(or_zero("feed_t")).alias("feed"),
+            *[F.avg(m).alias(m) for m in (*AREA_MEANS, *MILL_MEANS)],
+        )
+    )
     cols = []
-    for area, names in AREAS.items():
-        member = trimmed_eq("plan_name", names.plan)
+    for area in areas:
+        member = F.col("_area") == area
         for scenario, kind in scenarios(plan_type).items():
             chosen = of_type(kind)
-            feed = _sum_where(member, chosen, or_zero("feed_t"))
+            feed = sum_where(member, chosen, F.col("feed"))
             cols.append(feed.alias(f"{area}_feed_{scenario}"))
-            means = {m: F.col(m) for m in _AREA_MEANS} | (shares if area == "mill" else {})
-            for name, value in means.items():
-                cols.append(avg_when(member & chosen, value).alias(f"{area}_{name}_{scenario}"))
-    labels = [a.plan for a in AREAS.values()]
-    return (
-        current_version(plans).where(F.trim("plan_name").isin(*labels)).groupBy(day).agg(*cols)
-    )
+            for m in (*AREA_MEANS, *(MILL_MEANS if area == "mill" else ())):
+                cols.append(only(member & chosen, F.col(m)).alias(f"{area}_{m}_{scenario}"))
+    return groups.groupBy(day).agg(*cols)
 
 
 PRODUCTION_MEANS = (
@@ -121,11 +152,20 @@ def production_plan_pivot(
     plans: DataFrame, plan_type: int | None = None, day: str = "day"
 ) -> DataFrame:
     """Production plans, ``plan_<measure>_<scenario>`` per day."""
+    groups = (
+        current_version(plans, plan_type)
+        .groupBy(day, "_type")
+        .agg(
+            *[F.avg(m).alias(m) for m in PRODUCTION_MEANS],
+            *[F.sum(or_zero(m)).alias(m) for m in PRODUCTION_SUMS],
+        )
+    )
+    everything = F.lit(True)
     cols = []
     for scenario, kind in scenarios(plan_type).items():
         chosen = of_type(kind)
-        for name in PRODUCTION_MEANS:
-            cols.append(avg_when(chosen, name).alias(f"plan_{name}_{scenario}"))
-        for name in PRODUCTION_SUMS:
-            cols.append(sum_when(chosen, or_zero(name)).alias(f"plan_{name}_{scenario}"))
-    return current_version(plans).groupBy(day).agg(*cols)
+        for m in PRODUCTION_MEANS:
+            cols.append(only(chosen, F.col(m)).alias(f"plan_{m}_{scenario}"))
+        for m in PRODUCTION_SUMS:
+            cols.append(sum_where(everything, chosen, F.col(m)).alias(f"plan_{m}_{scenario}"))
+    return groups.groupBy(day).agg(*cols)

@@ -61,8 +61,9 @@ def write_snapshot(
     written = Observation()
     stamp = clean.at(at or datetime.now())
     out = df.withColumn(STAMP, stamp).observe(written, F.count(F.lit(1)).alias("rows"))
-    # A few rows per report date: bring each date together, so it becomes one file.
-    writer = out.repartition(PARTITION).write.partitionBy(PARTITION)
+    # Brings the few rows of a report date together into one file; a date that turns out
+    # large is split at run time.
+    writer = out.hint("rebalance", PARTITION).write.partitionBy(PARTITION)
     if force:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     else:

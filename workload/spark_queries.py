@@ -32,11 +32,11 @@ from opsreport.operators.readings import (
     mill_readings,
     valid_grade,
 )
-from opsreport.operators.timeaxis import date_span, period_spine
+from opsreport.operators.timeaxis import date_span, dates_frame, period_spine
 from opsreport.operators.treatment import treat
 from opsreport.plans.columns import SCENARIO_SUFFIX, accumulated_columns, actual_columns
 from opsreport.plans.columns import plan_columns
-from opsreport.plans.report import area_rates, day_facts, plant_report
+from opsreport.plans.report import area_rates, day_facts, pinned, plant_report
 from opsreport.sources.codes import MOISTURE
 from opsreport.sources.snapshots import read_snapshots, write_consolidated, write_snapshot
 from workload.standins import plant, standin, tables
@@ -64,29 +64,38 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     )
 
 
-def _spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shift days of every month that has events."""
+def _spine(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Shift days of every month between the first and the last event, and their number."""
     events = tables(spark, sf_dir, "events")["events"]
-    months = events.select(F.to_date("ts").alias("report_date"))
-    return period_spine(months, standin(spark, sf_dir, "shifts"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    months = (last.year - first.year) * 12 + last.month - first.month + 1
+    firsts = [
+        date(first.year + (first.month - 1 + i) // 12, (first.month - 1 + i) % 12 + 1, 1)
+        for i in range(months)
+    ]
+    spine = period_spine(dates_frame(spark, firsts), standin(spark, sf_dir, "shifts"))
+    return pinned(spine, 31 * months), 31 * months
 
 
-def _feed(spark: SparkSession, sf_dir: str, spine: DataFrame) -> DataFrame:
-    return crusher_feed(
-        standin(spark, sf_dir, "scale_readings"), standin(spark, sf_dir, "daily_factor"), spine
-    )
+def _feed(spark: SparkSession, sf_dir: str, spine: DataFrame, days: int) -> DataFrame:
+    scales, factors = (standin(spark, sf_dir, n) for n in ("scale_readings", "daily_factor"))
+    return crusher_feed(scales, factors, spine, days)
 
 
 def daily_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spine = _spine(spark, sf_dir)
-    feed = _feed(spark, sf_dir, spine)
+    spine, days = _spine(spark, sf_dir)
+    feed = _feed(spark, sf_dir, spine, days)
     out = spine.join(feed, "day", "left")
     lines = ["ipc_feed", "mmd_feed", "jaw_feed", "crusher_feed"]
     return rounded(out.select("day", "hours", *[or_zero(c).alias(c) for c in lines]))
 
 
 def shift_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_spine(spark, sf_dir).select("day", "start", "end", "hours", "floor"))
+    """Shift days of every month with events, months and offsets both taken from the data."""
+    events = tables(spark, sf_dir, "events")["events"]
+    months = events.select(F.to_date("ts").alias("report_date"))
+    spine = period_spine(months, standin(spark, sf_dir, "shifts"))
+    return rounded(spine.select("day", "start", "end", "hours", "floor"))
 
 
 def _bad_every_17th() -> Column:
@@ -206,9 +215,10 @@ def mill_readings_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attach_grades_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hour of a reading with its seven repaired and adjusted grades."""
-    spine = _spine(spark, sf_dir)
+    spine, days = _spine(spark, sf_dir)
     hours = standin(spark, sf_dir, "mill_readings").select("ts").distinct()
-    placed = assign_period(hours, spine.select("day", "start", "end", "floor")).drop("start", "end")
+    placed = assign_period(hours, spine.select("day", "start", "end", "floor"), "ts", days)
+    placed = placed.drop("start", "end")
     out = attach_grades(
         placed, standin(spark, sf_dir, "assays"), standin(spark, sf_dir, "month_factors")
     )
@@ -216,7 +226,7 @@ def attach_grades_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mill_production_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(mill_production(plant(spark, sf_dir), _spine(spark, sf_dir)))
+    return rounded(mill_production(plant(spark, sf_dir), *_spine(spark, sf_dir)))
 
 
 def _line_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,12 +281,12 @@ def _plans(plan_type: int | None) -> Query:
 
 def oee(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Effectiveness of three lines against the rate in force on each day."""
-    spine = _spine(spark, sf_dir)
+    spine, days = _spine(spark, sf_dir)
     dates = spine.select(F.to_date("day").alias("report_date"))
     rates = area_rates(dates, standin(spark, sf_dir, "nominal_rates"))
     kpis = kpi_pivot(standin(spark, sf_dir, "downtime_kpis"))
     joined = (
-        spine.join(_feed(spark, sf_dir, spine), "day", "left")
+        spine.join(_feed(spark, sf_dir, spine, days), "day", "left")
         .join(kpis, "day", "left")
         .withColumn("report_date", F.to_date("day"))
         .join(rates, "report_date", "left")
