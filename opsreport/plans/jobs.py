@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from opsreport.operators.consolidate import consolidate, limit_dates, summarize
 from opsreport.operators.timeaxis import report_dates, resolve_range
@@ -111,7 +112,8 @@ def run_report(
                 todo = [d for d in part if d not in have[path]]
                 if not todo:
                     continue
-                rows = write_snapshot(df.where(df[PARTITION].isin(*todo)), path, force, at)
+                kept = df.where(F.col(PARTITION).isin(*todo))
+                rows = write_snapshot(kept, path, force, at, todo)
                 if not rows:
                     log.warning("no rows for %s to %s", todo[0], todo[-1])
         finally:

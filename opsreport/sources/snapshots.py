@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,29 +46,39 @@ def stored_dates(spark: SparkSession, path: str, dates: Sequence[date]) -> set[d
 
 
 def write_snapshot(
-    df: DataFrame, path: str, force: bool = False, at: datetime | None = None
+    df: DataFrame,
+    path: str,
+    force: bool = False,
+    at: datetime | None = None,
+    dates: Sequence[date] | None = None,
 ) -> int:
     """Write snapshots by report date and return the number of rows written.
 
     Without ``force`` only report dates that are not stored yet are added; with it the
-    partitions of the given dates are replaced and the others stay.
+    partitions of the given dates are replaced and the others stay. ``at`` identifies the
+    run. ``dates``, if known, narrows the look at the stored partitions.
     """
     spark = df.sparkSession
-    have = None if force else stored(spark, path)
+    at = at or datetime.now()
+
+    def partitions() -> DataFrame | None:
+        have = stored(spark, path)
+        return have if have is None or dates is None else have.where(F.col(PARTITION).isin(*dates))
+
+    have = None if force else partitions()
     if have is not None:
         seen = have.select(F.col(PARTITION).cast("date").alias(PARTITION)).distinct()
         df = df.join(seen, PARTITION, "left_anti")
-    written = Observation()
-    stamp = clean.at(at or datetime.now())
-    out = df.withColumn(STAMP, stamp).observe(written, F.count(F.lit(1)).alias("rows"))
     # Brings the few rows of a report date together into one file; a date that turns out
     # large is split at run time.
-    writer = out.hint("rebalance", PARTITION).write.partitionBy(PARTITION)
+    out = df.withColumn(STAMP, clean.at(at)).hint("rebalance", PARTITION)
+    writer = out.write.partitionBy(PARTITION)
     if force:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     else:
         writer.mode("append").parquet(path)
-    return written.get["rows"]
+    now = partitions()
+    return 0 if now is None else now.where(F.col(STAMP) == clean.at(at)).count()
 
 
 def read_snapshots(

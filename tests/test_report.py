@@ -1,14 +1,25 @@
 """The facts that define the report, each under its own name."""
 
-from datetime import date, timedelta
+from datetime import date
 
 import pytest
-from conftest import ASSAY, GRADE, by_day, plan_row, plant_of, plant_rows, production_row, t
+from conftest import (
+    ASSAY,
+    GRADE,
+    by_day,
+    plan_row,
+    plant_of,
+    plant_rows,
+    production_row,
+    t,
+    table,
+)
 from pyspark.sql import functions as F
 
 from opsreport.operators.accumulate import accumulated_grades
+from opsreport.operators.timeaxis import dates_frame
 from opsreport.plans.columns import plan_tails, report_columns
-from opsreport.plans.report import day_facts, plant_report
+from opsreport.plans.report import area_rates, day_facts, plant_report
 
 DATE = date(2024, 1, 2)
 
@@ -23,7 +34,7 @@ def base(spark):
     return report(spark)
 
 
-def test_the_report_has_its_251_columns():
+def test_the_report_has_its_251_columns(spark):
     names = [n for n, _ in report_columns()]
     assert len(names) == len(set(names)) == 251
     assert names[:3] == ["PeriodIndex", "AlimentacaoIpcReal", "AlimentacaoMmdReal"]
@@ -84,14 +95,6 @@ def test_plan_numbers_by_hand(base):
     assert r.ProducaoOuroKgCurtoPrazo == 3.0
 
 
-def test_scheduled_share_defaults_to_all(spark):
-    plans = [list(p) for p in plant_rows()["area_plans"]]
-    for p in plans:
-        p[-1] = None
-    r = report(spark, area_plans=[tuple(p) for p in plans])[4]
-    assert r.HorasParadasProgramadasOrcado == pytest.approx(24 * 0.2)
-
-
 def test_without_a_plan_type_the_budget_is_zero(spark):
     r = report(spark, plan_type=None)[2]
     budget = {n: v for n, v in r.asDict().items() if n.endswith("Orcado")}
@@ -100,26 +103,69 @@ def test_without_a_plan_type_the_budget_is_zero(spark):
     assert r.TeorAlimentacaoCobreOrcadoAcumulado is None
 
 
-def test_other_plan_versions_do_not_count(spark):
-    plans = plant_rows()["area_plans"] + [
-        plan_row("2024-01-02", "Planejamento - Moagem", 3, 9e9, version=2)
+@pytest.fixture(scope="module")
+def special(spark):
+    """A report of the third where every day has something out of the ordinary."""
+    rows = plant_rows()
+    plans = [
+        p if p[0].day < 4 else (*p[:-1], None)  # no scheduled share from the fourth on
+        for p in rows["area_plans"]
+        if not (p[0].day == 2 and "Moagem" in p[1])  # no mill plan on the second
     ]
-    production = plant_rows()["production_plans"] + [production_row("2024-01-02", 3, version=2)]
-    r = report(spark, area_plans=plans, production_plans=production)[2]
+    plans.append(plan_row("2024-01-05", "Planejamento - Moagem", 3, 9e9, version=2))
+    changes = {
+        "area_plans": plans,
+        "production_plans": [*rows["production_plans"], production_row("2024-01-05", 3, 2)],
+        "daily_factor": [(t("2024-01-01"), None)],
+        "shipments": [
+            (t("2024-01-01"), 10.0, 31.1034768),
+            (t("2024-01-01"), -999.0, 5.0),
+            (t("2024-01-04"), 1.0, 1.0),
+            (t("2024-01-04"), 1.0, 1.0),
+        ],
+        "assays": [  # zero copper in the concentrate of the third
+            (ts, c, l, a, 0.0 if (ts.day, c, a) == (3, 3, "Cu") else v)
+            for ts, c, l, a, v in rows["assays"]
+        ],
+    }
+    return plant_report(spark, plant_of(spark, **changes), [date(2024, 1, 3)], 2).collect()
+
+
+def test_scheduled_share_defaults_to_all(special):
+    assert by_day(special, "PeriodIndex")[4].HorasParadasProgramadasOrcado == pytest.approx(4.8)
+
+
+def test_other_plan_versions_do_not_count(special):
+    r = by_day(special, "PeriodIndex")[5]
     assert r.AlimentacaoPlantaCurtoPrazo == 3000.0 and r.MassaConcentradoCurtoPrazo == 100.0
 
 
-def test_a_day_without_scale_factor_has_no_crusher_feed(spark):
-    r = report(spark, daily_factor=[(t("2024-01-01"), None)])
+def test_a_day_without_scale_factor_has_no_crusher_feed(special):
+    r = by_day(special, "PeriodIndex")
     assert r[1].AlimentacaoIpcReal == 100.0  # a NULL factor is 1
     assert r[2].AlimentacaoIpcReal == 0.0 and r[2].ProdutividadeIpcReal is None
 
 
-def test_a_missing_factor_month_nulls_four_grades(spark):
-    r = report(spark, month_factors=[(2, 2024, 1, 1, 1, 1)])[2]
-    assert r.TeorAlimentacaoCobreReal is None and r.TeorConcentradoOuroReal is None
-    assert r.TeorRejeitoCobreReal == 0.1
-    assert r.AlimentacaoPlantaReal == pytest.approx(900.0)
+def test_several_shipments_of_a_day_give_several_rows(special):
+    silver = sorted(r.ProducaoPrataOzReal for r in special if r.PeriodIndex.day == 1)
+    assert silver == pytest.approx([0.0, 10.0])
+    # The fourth is after the report date: neither shown nor doubled.
+    assert len(special) == 32
+
+
+def test_a_day_without_mill_plan_loses_its_accumulated_columns(special):
+    r = by_day(special, "PeriodIndex")
+    assert r[2].TeorAlimentacaoCobreReal == pytest.approx(0.5)
+    assert r[2].TeorAlimentacaoCobreRealAcumulado is None
+    assert r[2].TeorAlimentacaoCobreProjecao is None
+    assert r[1].TeorAlimentacaoCobreRealAcumulado == pytest.approx(0.5)
+
+
+def test_projected_concentrate_is_tested_by_feed(special):
+    r = by_day(special, "PeriodIndex")[3]
+    assert r.TeorConcentradoCobreReal is None  # zero grades do not weigh
+    assert r.TeorConcentradoCobreRealAcumulado is None
+    assert r.TeorConcentradoCobreProjecao == 0.0  # but here the feed is what counts
 
 
 def test_without_shifts_there_are_no_readings_but_plans(spark):
@@ -130,16 +176,6 @@ def test_without_shifts_there_are_no_readings_but_plans(spark):
     assert r[2].HorasDisponiveisPlantaCurtoPrazo == 0.0
 
 
-def test_several_shipments_of_a_day_give_several_rows(spark):
-    ships = [(t("2024-01-01"), 10.0, 31.1034768), (t("2024-01-01"), -999.0, 5.0),
-             (t("2024-01-03"), 1.0, 1.0), (t("2024-01-03"), 1.0, 1.0)]
-    rows = plant_report(spark, plant_of(spark, shipments=ships), [DATE], 2).collect()
-    silver = sorted(r.ProducaoPrataOzReal for r in rows if r.PeriodIndex.day == 1)
-    assert silver == pytest.approx([0.0, 10.0])
-    # The third is after the report date: neither shown nor doubled.
-    assert len(rows) == 32
-
-
 def test_accumulated_columns_are_per_day_not_running(base):
     assert base[1].TeorAlimentacaoCobreRealAcumulado == pytest.approx(0.5)
     assert base[2].TeorAlimentacaoCobreOrcadoAcumulado == pytest.approx(0.6)
@@ -153,34 +189,13 @@ def test_future_projection_is_null_although_planned(base):
     assert base[2].TeorAlimentacaoCobreProjecao == pytest.approx(0.5)
 
 
-def test_a_day_without_mill_plan_loses_its_accumulated_columns(spark):
-    plans = [p for p in plant_rows()["area_plans"] if not (p[0].day == 2 and "Moagem" in p[1])]
-    r = report(spark, area_plans=plans)
-    assert r[2].TeorAlimentacaoCobreReal == pytest.approx(0.5)
-    assert r[2].TeorAlimentacaoCobreRealAcumulado is None
-    assert r[2].TeorAlimentacaoCobreProjecao is None
-    assert r[1].TeorAlimentacaoCobreRealAcumulado == pytest.approx(0.5)
-
-
-def test_projected_concentrate_is_tested_by_feed(spark):
-    assays = [
-        (ts, c, l, a, 0.0 if (c, a) == (3, "Cu") else v)
-        for ts, c, l, a, v in plant_rows()["assays"]
-    ]
-    r = report(spark, assays=assays)[2]
-    assert r.TeorConcentradoCobreReal is None  # zero grades do not weigh
-    assert r.TeorConcentradoCobreRealAcumulado is None
-    assert r.TeorConcentradoCobreProjecao == 0.0  # but here the feed is what counts
-
-
-def test_rates_count_from_their_date_and_zero_rates_give_null(spark):
+def test_rates_count_from_their_date_on(spark):
     area = "330 MOAGEM"
-    rates = [(area, t("2023-01-01"), 50.0), (area, t("2024-01-02"), 25.0),
-             (area, t("2024-01-03"), 0.0)]
-    rows = report(spark, [date(2024, 1, 1), DATE, date(2024, 1, 3)], nominal_rates=rates)
-    got = {r.report_date.day: r.OeePlantaReal for r in rows if r.PeriodIndex.day == 1}
-    assert got == {1: pytest.approx(75.0), 2: pytest.approx(150.0), 3: None}
-    assert all(r.OeeIpcReal is None for r in rows)
+    rates = [(area, t("2023-01-01"), 50.0), (area + " ", t("2024-01-02"), 25.0)]
+    days = [date(2022, 1, 1), date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 9)]
+    out = area_rates(dates_frame(spark, days), table(spark, "nominal_rates", rates)).collect()
+    got = {r.report_date: (r.mill_rate, r.ipc_rate) for r in out}
+    assert [got[d] for d in days] == [(None, None), (50.0, None), (25.0, None), (25.0, None)]
 
 
 def test_batched_report_dates_equal_single_runs(spark):
@@ -190,13 +205,13 @@ def test_batched_report_dates_equal_single_runs(spark):
     cu = [a for a in assays if a[1:3] == (8, "Alimentação Sag") and a[3] == "Cu "]
     assays = [a for a in assays if a not in cu] + [(*a[:4], -999.0) for a in cu[:1]] + cu[1:]
     changes = {"shifts": shifts, "assays": assays}
-    dates = [date(2023, 12, 31), date(2024, 1, 1), DATE, date(2024, 2, 1)]
+    dates = [date(2023, 12, 31), DATE]
     together = {(r.report_date, r.PeriodIndex): r for r in report(spark, dates, **changes)}
     alone = {}
     for d in dates:
         rows = plant_report(spark, plant_of(spark, **changes), [d], 2).collect()
         alone |= {(r.report_date, r.PeriodIndex): r for r in rows}
-    assert len(together) == 31 + 31 + 31 + 29
+    assert len(together) == 31 + 31
     assert together == alone
 
 
@@ -237,7 +252,7 @@ def test_row_wise_accumulation_equals_the_full_joins(spark):
     full = accumulated_grades(actual, mill, grades, keys, past)
     want = {(r.report_date, r.day): r for r in full.collect()}
     assert (None, None) in want  # the orphans
-    rows = plant_report(spark, plant_of(spark, **changes), dates, 2).collect()
+    rows = facts.select(keys[0], *[v.alias(n) for n, v in report_columns()]).collect()
     names = {"feed": "Alimentacao", "conc": "Concentrado", "tails": "Rejeito"}
     for r in rows:
         w = want.get((r.report_date, r.PeriodIndex))
@@ -256,8 +271,3 @@ def test_row_wise_accumulation_equals_the_full_joins(spark):
 def test_a_run_needs_a_report_date(spark):
     with pytest.raises(ValueError):
         plant_report(spark, plant_of(spark), [])
-
-
-def test_a_month_with_31_days_follows_one_with_29(spark):
-    rows = report(spark, [date(2024, 2, 29), date(2024, 3, 1) + timedelta(days=0)])
-    assert len(rows) == 29 + 31
