@@ -83,26 +83,37 @@ DAY_FIRST_FORMATS = (
 )
 
 
-def _shape(fmt: str) -> str:
-    """Regular expression of the texts a date format can read."""
-    digits = {"yyyy": r"\d{4}", "HH": r"\d{2}", "mm": r"\d{2}", "ss": r"\d{2}"}
-    digits |= {"d": r"\d{1,2}", "M": r"\d{1,2}"}
-    parts = re.findall("|".join(digits) + "|.", fmt)
-    return "^" + "".join(digits.get(p, re.escape(p)) for p in parts) + "$"
+# What each part of a date format looks like.
+_PARTS = {
+    "yyyy": r"(\d{4})",
+    "HH": r"(\d{2})",
+    "mm": r"(\d{2})",
+    "ss": r"(\d{2})",
+    "M": r"(\d{1,2})",
+    "d": r"(\d{1,2})",
+}
+
+
+def _in_format(text: Column, fmt: str) -> Column:
+    """The time stamp that a text of this format spells; NULL for any other text.
+
+    Put together from its numbers: the parsers of Spark go through a time zone, where
+    some midnights do not exist.
+    """
+    pieces = re.findall("|".join(_PARTS) + "|.", fmt)
+    pattern = "^" + "".join(_PARTS.get(p, re.escape(p)) for p in pieces) + "$"
+    order = [p for p in pieces if p in _PARTS]
 
+    def number(part: str) -> Column:
+        if part not in order:
+            return F.lit(0)
+        return F.regexp_extract(text, pattern, order.index(part) + 1).try_cast("int")
 
-def parse_date(c: Column | str, formats: Iterable[str] = DATE_FORMATS) -> Column:
-    """Text to a zone-free timestamp in the first format that fits; NULL if none does.
+    moment = F.try_make_timestamp_ntz(*[number(p) for p in ("yyyy", "M", "d", "HH", "mm", "ss")])
+    return F.when(text.rlike(pattern), moment)
 
-    The parser is only tried on texts of the right shape: a failed attempt throws inside
-    the executor, which is many times slower than the pattern check.
-    """
+
+def parse_date(c: Column | str, formats: Iterable[str] = DATE_FORMATS) -> Column:
+    """Text to a zone-free timestamp in the first format that fits; NULL if none does."""
     text = F.trim(col(c))
-    return F.coalesce(
-        *[
-            F.when(
-                text.rlike(_shape(f)), F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz")
-            )
-            for f in formats
-        ]
-    )
+    return F.coalesce(*[_in_format(text, f) for f in formats])

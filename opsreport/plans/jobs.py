@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsreport.operators.consolidate import consolidate, limit_dates, summarize
-from opsreport.operators.timeaxis import report_dates, resolve_range
+from opsreport.operators.timeaxis import DEFAULT_LOOK_BACK, report_dates, resolve_range
 from opsreport.operators.treatment import treat
 from opsreport.plans.report import plant_report
 from opsreport.sources.snapshots import (
@@ -151,10 +151,11 @@ def run(
     force: bool = False,
     plan_type: int | None = None,
     strict: bool = True,
+    look_back: int = DEFAULT_LOOK_BACK,
     today: date | None = None,
 ) -> int:
     """A whole run: resolve the range, write the snapshots, consolidate; 0 when done."""
-    first, last, limit = resolve_range(today or date.today(), start, end, days)
+    first, last, limit = resolve_range(today or date.today(), start, end, days, look_back)
     store = Store(root)
     outcome = run_report(
         spark, inputs, report_dates(first, last, limit), store, force, plan_type, strict

@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 from conftest import plant_of, plant_rows, t
 
+from opsreport import __main__ as main_module
 from opsreport.plans import jobs
 from opsreport.plans.jobs import Outcome, Store, in_parts, isolated, run, run_report
 from opsreport.sources.schema import TABLES, conform
@@ -68,8 +69,7 @@ def test_a_failing_report_is_reported_per_date(spark, tmp_path):
 def test_inputs_are_read_under_source_names(spark, tmp_path):
     frames = plant_of(spark)
     for name, table in TABLES.items():
-        source = [df for df in [frames[name]]][0]
-        renamed = source.toDF(*[src for _, src, _ in table.columns])
+        renamed = frames[name].toDF(*[src for _, src, _ in table.columns])
         renamed.coalesce(1).write.parquet(f"{tmp_path}/{name}")
     back = read_inputs(spark, str(tmp_path))
     for name, table in TABLES.items():
@@ -77,6 +77,17 @@ def test_inputs_are_read_under_source_names(spark, tmp_path):
     assert back["scale_readings"].count() == len(plant_rows()["scale_readings"])
 
 
+def test_the_command_line_runs_a_range(spark, tmp_path, monkeypatch):
+    for name, df in plant_of(spark).items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/in/{name}")
+    seen = {}
+    monkeypatch.setattr(main_module, "run", lambda *a, **k: seen.update(k, args=a) or 0)
+    args = ["--inputs", f"{tmp_path}/in", "--store", "out", "--days", "3", "--force"]
+    assert main_module.main(args) == 0
+    assert (seen["days"], seen["force"], seen["strict"]) == (3, True, True)
+    assert seen["args"][1].keys() == TABLES.keys() and seen["args"][2] == "out"
+
+
 def test_missing_source_columns_are_named(spark):
     df = spark.createDataFrame([(t("2024-01-01"),)], "CDL_DATETIME_00001 timestamp_ntz")
     with pytest.raises(ValueError, match="CDL_NUMBER_00012"):

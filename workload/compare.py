@@ -41,13 +41,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def normal(df: pd.DataFrame) -> pd.DataFrame:
     """Columns by name, values as text, rows sorted."""
-    out = pd.DataFrame(index=range(len(df)))
+    texts: dict[str, list[str]] = {}
     for c in sorted(df.columns):
         values = [None if pd.isna(v) else v for v in df[c].tolist()]
-        out[c] = [
+        texts[c] = [
             "" if v is None else repr(float(v) + 0.0) if isinstance(v, (int, float)) else str(v)
             for v in values
         ]
+    out = pd.DataFrame(texts)
     return out.sort_values(list(out.columns)).reset_index(drop=True)
 
 
