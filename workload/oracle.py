@@ -317,16 +317,23 @@ def actual_sql() -> Columns:
     return {f"{n}Real": e for n, e in out.items()}
 
 
+_SILVER = [
+    cte("shipments"),
+    "silver AS (SELECT day, "
+    + div(f"{measure('mass')} * {measure('ag_grade')}", _OZ)
+    + " AS silver FROM shipments)",
+]
+_ACTUAL_JOINS = "\n".join(
+    f"LEFT JOIN {t} ON {t}.day = g.day AND g.day <= g.report_date"
+    for t in ("feed", "production", "kpis", "silver")
+)
+
+
 def report_actual_sql() -> str:
-    shown = [cte("shipments"), "silver AS (SELECT day, " + div(
-        f"{measure('mass')} * {measure('ag_grade')}", _OZ) + " AS silver FROM shipments)"]
     body = f"""SELECT g.report_date, g.day AS PeriodIndex, {rnd(actual_sql())}
 FROM grid g
-LEFT JOIN feed ON feed.day = g.day AND g.day <= g.report_date
-LEFT JOIN production ON production.day = g.day AND g.day <= g.report_date
-LEFT JOIN kpis ON kpis.day = g.day AND g.day <= g.report_date
-LEFT JOIN silver ON silver.day = g.day AND g.day <= g.report_date"""
-    return with_([*SPINE, *FEED, *PRODUCTION, *KPIS, *grid(list(REPORT_DATES)), *shown], body)
+{_ACTUAL_JOINS}"""
+    return with_([*SPINE, *FEED, *PRODUCTION, *KPIS, *grid(list(REPORT_DATES)), *_SILVER], body)
 
 
 def tails_sql(metal: str, f: str, c: str, r: str) -> str:
@@ -458,16 +465,7 @@ def recoveries() -> Columns:
     return out
 
 
-def report_accumulated_sql() -> str:
-    plan_grades: Columns = {}
-    for s in ("budget", "very_short"):
-        for m in _METAL:
-            f, c, r = (f"plan_{m}_{x}_{s}" for x in ("grade", "conc", "rec"))
-            plan_grades |= {
-                f"feed_{m}_{s}": f,
-                f"conc_{m}_{s}": c,
-                f"tails_{m}_{s}": tails_sql(m, f, c, r),
-            }
+def accumulated_names() -> Columns:
     names: Columns = {}
     for b, suffix in (
         ("actual", "RealAcumulado"),
@@ -479,13 +477,22 @@ def report_accumulated_sql() -> str:
             names[f"Teor{_STREAM[stream]}{_METAL[metal]}{suffix}"] = f"{m}_{b}"
         for m in _METAL:
             names[f"Recuperacao{_METAL[m]}{suffix}"] = f"rec_{m}_{b}"
+    return names
+
+
+def accumulated_ctes() -> list[str]:
+    """From the grid, production and plans to one row of accumulated grades per date and day."""
+    plan_grades: Columns = {}
+    for s in ("budget", "very_short"):
+        for m in _METAL:
+            f, c, r = (f"plan_{m}_{x}_{s}" for x in ("grade", "conc", "rec"))
+            plan_grades |= {
+                f"feed_{m}_{s}": f,
+                f"conc_{m}_{s}": c,
+                f"tails_{m}_{s}": tails_sql(m, f, c, r),
+            }
     same = "{0}.report_date = {1}.report_date AND {0}.day = {1}.day"
-    ctes = [
-        *SPINE,
-        *PRODUCTION,
-        *grid(list(REPORT_DATES)),
-        *_SHIPMENT_ROWS,
-        *plans(BUDGET),
+    return [
         """t AS (SELECT g.report_date, x.*, x.mill_feed AS feed_t FROM production x
            JOIN grid g ON g.day = x.day AND x.day <= g.report_date)""",
         """p AS (SELECT g.report_date, a.day, mill_feed_budget AS feed_budget,
@@ -499,9 +506,33 @@ def report_accumulated_sql() -> str:
            GROUP BY p.report_date, p.day)""",
         f"accrec AS (SELECT *, {named(recoveries())} FROM acc)",
     ]
-    body = f"""SELECT g.report_date, g.day AS PeriodIndex, {rnd(names)}
-FROM shipped g LEFT JOIN accrec ON accrec.report_date = g.report_date AND accrec.day = g.day"""
-    return with_(ctes, body)
+
+
+_ACCUMULATED_JOIN = (
+    "LEFT JOIN accrec ON accrec.report_date = g.report_date AND accrec.day = g.day"
+)
+
+
+def report_accumulated_sql() -> str:
+    ctes = [*SPINE, *PRODUCTION, *grid(list(REPORT_DATES)), *_SHIPMENT_ROWS, *plans(BUDGET)]
+    body = f"""SELECT g.report_date, g.day AS PeriodIndex, {rnd(accumulated_names())}
+FROM shipped g {_ACCUMULATED_JOIN}"""
+    return with_([*ctes, *accumulated_ctes()], body)
+
+
+def plant_report_sql() -> str:
+    """All 251 columns at once."""
+    cols = actual_sql()
+    for s in _SUFFIX:
+        cols |= plan_sql(s)
+    cols |= accumulated_names()
+    ctes = [*SPINE, *FEED, *PRODUCTION, *KPIS, *grid(list(REPORT_DATES)), *_SILVER]
+    body = f"""SELECT g.report_date, g.day AS PeriodIndex, {rnd(cols)}
+FROM grid g
+{_ACTUAL_JOINS}
+LEFT JOIN areas ON areas.day = g.day LEFT JOIN prods ON prods.day = g.day
+{_ACCUMULATED_JOIN}"""
+    return with_([*ctes, *plans(BUDGET), *accumulated_ctes()], body)
 
 
 def multi_date_sql() -> str:
@@ -808,6 +839,7 @@ ORACLE: dict[str, str] = {
     "union_by_name": UNION,
     "limit_and_parse": LIMIT_AND_PARSE,
     "report_dates": REPORT_DATES_SQL,
+    "plant_report": plant_report_sql(),
     "report_actual": report_actual_sql(),
     "report_plans": report_plans_sql(),
     "report_accumulated": report_accumulated_sql(),

@@ -479,6 +479,11 @@ def _stamp(df: DataFrame) -> DataFrame:
     return df.withColumn("report_date", F.col("report_date").cast("timestamp_ntz"))
 
 
+def plant_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole report, all 251 columns, for two report dates."""
+    return rounded(_stamp(plant_report(spark, plant(spark, sf_dir), REPORT_DATES, BUDGET)))
+
+
 def report_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = day_facts(spark, plant(spark, sf_dir), REPORT_DATES, BUDGET)
     cols = [v.alias(n) for n, v in actual_columns()]
@@ -562,6 +567,7 @@ QUERIES: dict[str, Query] = {
     "union_by_name": union_by_name_query,
     "limit_and_parse": limit_and_parse,
     "report_dates": report_dates_query,
+    "plant_report": plant_report_query,
     "report_actual": report_actual,
     "report_plans": report_plans,
     "report_accumulated": report_accumulated,
