@@ -8,7 +8,6 @@ in ``_pct``.
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from opsreport.functions.clean import or_zero, ratio, reading, reading_or
 
@@ -112,7 +111,3 @@ def plan_down(hours: Column, availability: Column, *shares: Column) -> Column:
 def external_share(c14: Column, c15: Column, c16: Column, c17: Column) -> Column:
     # The signs are the contract: only the first two are taken off the hundred.
     return 100.0 - (c14 + c15) + c16 + c17
-
-
-def positive_or(condition: Column, value: Column) -> Column:
-    return F.when(condition, value).otherwise(0.0)

@@ -13,6 +13,7 @@ from opsreport.functions.clean import (
     ratio,
     reading,
     reading_or,
+    sentinel_to_null,
     trimmed_eq,
 )
 from opsreport.functions.metrics import dry_share, stock_adjusted
@@ -44,8 +45,10 @@ def crusher_feed(
     scales: DataFrame, factors: DataFrame, spine: DataFrame, spine_days: int | None = None
 ) -> DataFrame:
     """Tonnes of each crusher line per shift day."""
+    lines = ["ipc_t", "mmd_t", "c160_t"]
+    scales = sentinel_to_null(scales, lines)
     placed = assign_period(scales, spine.select("day", "start", "end"), "ts", spine_days)
-    ipc, mmd, jaw = (reading_or(c, 0.0) for c in ("ipc_t", "mmd_t", "c160_t"))
+    ipc, mmd, jaw = (or_zero(c) for c in lines)
     return factored_sum(
         placed,
         factors,

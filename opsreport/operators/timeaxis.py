@@ -93,7 +93,9 @@ def plus_minutes(ts: Column, minutes: Column) -> Column:
     return ts + F.make_dt_interval(F.lit(0), F.lit(0), minutes.cast("int"))
 
 
-def period_spine(dates: DataFrame, shifts: DataFrame, date_column: str = "report_date") -> DataFrame:
+def period_spine(
+    dates: DataFrame, shifts: DataFrame, date_column: str = "report_date"
+) -> DataFrame:
     """Shift days of every month of ``dates``: ``month``, ``day``, ``start``, ``end``, ``hours``.
 
     A day starts at the offset effective strictly before it and ends where the next day

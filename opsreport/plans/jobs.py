@@ -101,7 +101,8 @@ def run_report(
     outcome = Outcome()
     if not dates:
         return outcome
-    have = {p: set() if force else stored_dates(spark, p, dates) for p in (store.raw, store.treated)}
+    paths = (store.raw, store.treated)
+    have = {p: set() if force else stored_dates(spark, p, dates) for p in paths}
 
     def work(part: Sequence[date]) -> None:
         # A few hundred rows, needed by both snapshots.

@@ -59,10 +59,8 @@ def test_dates_after_the_limit_and_without_a_date_are_dropped(spark):
 
 def test_text_dates_are_parsed_day_first(spark):
     schema = SCHEMA.replace("Data timestamp_ntz", "Data string")
-    rows = [
-        (text, 1.0, 1.0, "a", OLD, "a", i)
-        for i, text in enumerate(["05.01.2024", "2024-01-05", "06/01/2024", "99.01.2024", "x", None])
-    ]
+    texts = ["05.01.2024", "2024-01-05", "06/01/2024", "99.01.2024", "x", None]
+    rows = [(text, 1.0, 1.0, "a", OLD, "a", i) for i, text in enumerate(texts)]
     out = consolidate(spark.createDataFrame(rows, schema)).collect()
     assert sorted(r.Data for r in out) == [DAY, t("2024-01-06")]
 

@@ -54,7 +54,8 @@ def test_the_spine_keeps_zone_free_types(spine):
 
 
 def test_crusher_feed_sums_before_it_shuffles(stored_plant, spine):
-    text = plan(crusher_feed(stored_plant["scale_readings"], stored_plant["daily_factor"], spine, 31))
+    scales, factors = stored_plant["scale_readings"], stored_plant["daily_factor"]
+    text = plan(crusher_feed(scales, factors, spine, 31))
     before = text.split("Exchange hashpartitioning")
     assert len(before) == 3  # one exchange per side, both of day totals
     assert all("partial_sum" in part or "partial_avg" in part for part in before[1:])

@@ -1,5 +1,5 @@
 import random
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import ASSAY, t, table
@@ -167,7 +167,8 @@ def test_stock_factors_correct_four_grades_and_a_missing_month_nulls_them(spark)
 
 
 def test_pivot_tells_bad_rows_from_no_rows(spark):
-    rows = [(t("2024-01-01"), "a", -999.0), (t("2024-01-01"), "a", 3.0), (t("2024-01-01"), "b", None)]
+    ts = t("2024-01-01")
+    rows = [(ts, "a", -999.0), (ts, "a", 3.0), (ts, "b", None)]
     df = spark.createDataFrame(rows, "ts timestamp_ntz, g string, v double")
     groups = {g: F.col("g") == g for g in "abc"}
     out = grade_pivot(df, groups, reading("v"))

@@ -17,7 +17,6 @@ from opsreport.operators.accumulate import (
     MEASURES,
     accumulated_grades,
     splice_projection,
-    with_recoveries,
 )
 from opsreport.operators.asof import carry_forward, effective_lookup, month_factors
 from opsreport.operators.consolidate import consolidate, limit_dates, summarize, union_by_name
@@ -148,7 +147,8 @@ def _effective(strict: bool) -> Query:
 
 def _line_factors(orders: DataFrame) -> DataFrame:
     """A factor for every month but one, NULL in months with an even number of orders."""
-    months = orders.select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    at = F.col("o_orderdate")
+    months = orders.select(F.year(at).alias("year"), F.month(at).alias("month"))
     skip = (F.col("year") == 1997) & (F.col("month") == 7)
     n = F.count(F.lit(1))
     return (
