@@ -149,6 +149,8 @@ def attach_grades(
     readings: DataFrame, assays: DataFrame, factors: DataFrame, floor: str = "floor"
 ) -> DataFrame:
     """Add the seven grades to readings that already know their ``day`` and ``floor``."""
+    # Gold in tails is cleaned by a closed routine at the source. Judging by its place it
+    # does what the other grades spell out, so the same sentinel rule is assumed here.
     grades = repaired_grades(assays, {g: is_assay(k) for g, k in GRADES.items()}, reading("value"))
     joined = month_factors(
         readings.join(grades, "ts", "left"), factors, "day", list(STOCK_FACTORS.values())
