@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from opsreport.llm import chat
 from opsreport.llm.common import table
 from opsreport.llm.line_dedup import drop_boilerplate
+from opsreport.llm.order_minhash import near_duplicate_classes
 from opsreport.llm.quality import compression_bands
 from opsreport.llm.token_counts import token_counts
 
@@ -26,6 +27,10 @@ def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands(table(spark, sf_dir, "documents"))
 
 
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_prefix_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -46,6 +51,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op5_compression_bands": op5_compression_bands,
+    "op6_order_minhash": op6_order_minhash,
     "op8_prefix_examples": op8_prefix_examples,
     "op10_token_counts": op10_token_counts,
 }
