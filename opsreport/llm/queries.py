@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsreport.llm import chat
+from opsreport.llm import ann, chat
 from opsreport.llm.common import table
 from opsreport.llm.line_dedup import drop_boilerplate
 from opsreport.llm.order_minhash import near_duplicate_classes
@@ -23,6 +23,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(docs, counts=True)
 
 
+def op2_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands(table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_projected_neighbours": op2_projected_neighbours,
     "op5_compression_bands": op5_compression_bands,
     "op6_order_minhash": op6_order_minhash,
     "op8_prefix_examples": op8_prefix_examples,
