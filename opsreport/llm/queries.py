@@ -14,6 +14,7 @@ from opsreport.llm.line_dedup import drop_boilerplate
 from opsreport.llm.order_minhash import near_duplicate_classes
 from opsreport.llm.quality import compression_bands
 from opsreport.llm.token_counts import token_counts
+from opsreport.llm.token_files import token_file_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,11 @@ def op2_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_file_digest(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands(table(spark, sf_dir, "documents"))
 
@@ -56,6 +62,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_projected_neighbours": op2_projected_neighbours,
+    "op4_token_files": op4_token_files,
     "op5_compression_bands": op5_compression_bands,
     "op6_order_minhash": op6_order_minhash,
     "op8_prefix_examples": op8_prefix_examples,
