@@ -27,6 +27,8 @@ How it scales
   rounds go on until a round links nothing or no bucket has two members left. So the work is
   linear in the members, and there is no cap on a bucket.
 - Hubs meet their members in chunks of ``CHUNK``, streamed: a task holds one hub and one member.
+- Texts meet ids in sort-merge joins at every size: ids of candidates grow with the corpus, so
+  a plan that sends them to every task would only do for a small one.
 - Every round is a table in the shared folder.
 
 Rows without doc_id belong to no class and give no row. Texts without words, null or empty,
@@ -52,7 +54,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 20
 DRAWN = 3
-CHUNK = 256
+CHUNK = 64
 
 _KEPT = b"".join(
     bytes([c]) if chr(c).isalnum() and c < 128 or c >= 128 else b" " for c in range(256)
@@ -208,11 +210,11 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
         ),
         "pairs",
     )
-    members = dealt.join(texts.withColumnRenamed("doc_id", "doc"), "doc").select(
+    members = dealt.join(texts.withColumnRenamed("doc_id", "doc").hint("merge"), "doc").select(
         "hub", "chunk", F.lit(1).alias("is_member"), "doc", "text"
     )
     hubs = dealt.select("hub", "chunk").distinct()
-    hubs = hubs.join(texts.withColumnRenamed("doc_id", "hub"), "hub").select(
+    hubs = hubs.join(texts.withColumnRenamed("doc_id", "hub").hint("merge"), "hub").select(
         "hub", "chunk", F.lit(0).alias("is_member"), F.col("hub").alias("doc"), "text"
     )
     together = (
@@ -266,9 +268,8 @@ def near_duplicate_classes(
     active = written(
         active.select("band", "value", "doc_id", "n").distinct().join(company, "doc_id"), "active"
     )
-    texts = written(
-        own.join(active.select("doc_id").distinct(), "doc_id", "left_semi"), "texts"
-    )
+    candidates = active.select("doc_id").distinct()
+    texts = written(own.join(candidates.hint("merge"), "doc_id", "left_semi"), "texts")
     labels, links = None, None
     while not active.isEmpty():
         first = F.max(F.struct("company", (-F.col("doc_id")).alias("doc")))
