@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 from opsreport.llm import ann, chat
 from opsreport.llm.common import table
 from opsreport.llm.line_dedup import drop_boilerplate
+from opsreport.llm.mixing import mixture, quality_domains
 from opsreport.llm.order_minhash import near_duplicate_classes
 from opsreport.llm.quality import compression_bands
 from opsreport.llm.token_counts import token_counts
 from opsreport.llm.token_files import token_file_digest
 
+#: Shares of words that the mixture is to have.
+WEIGHTS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -42,6 +46,11 @@ def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mixture(docs, quality_domains(table(spark, sf_dir, "labels")), WEIGHTS)
+
+
 def op8_prefix_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -65,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op4_token_files": op4_token_files,
     "op5_compression_bands": op5_compression_bands,
     "op6_order_minhash": op6_order_minhash,
+    "op7_soft_mixing": op7_soft_mixing,
     "op8_prefix_examples": op8_prefix_examples,
     "op10_token_counts": op10_token_counts,
 }
