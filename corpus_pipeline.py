@@ -9,11 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from opsreport.llm.common import table, written
 from opsreport.llm.line_dedup import drop_boilerplate
+from opsreport.llm.mixing import mixed_documents, quality_domains
+from opsreport.llm.order_minhash import keep_one_of_each
 from opsreport.llm.quality import keep_good
+from opsreport.llm.queries import WEIGHTS
+from opsreport.llm.segmentation import segmentations
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -28,9 +33,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_boilerplate(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return keep_one_of_each(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its rate asks for, so that the words of the domains match the
+    target weights."""
+    return mixed_documents(docs, quality_domains(table(spark, sf_dir, "labels")), WEIGHTS)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id and the digest of the N best segmentations of each text."""
+    return segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup),
+    ("near dedup", near_dedup),
+    ("mixing", mixing),
+    ("encoding", encoding),
 ]
 
 #: The bands, the alignment and the encoding have no equal in SQL.

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from opsreport.llm import ann, chat
 from opsreport.llm.common import table
+from opsreport.llm.license_scan import scan_licenses
 from opsreport.llm.line_dedup import drop_boilerplate
 from opsreport.llm.mixing import mixture, quality_domains
 from opsreport.llm.order_minhash import near_duplicate_classes
 from opsreport.llm.quality import compression_bands
+from opsreport.llm.segmentation import segmentations
 from opsreport.llm.token_counts import token_counts
 from opsreport.llm.token_files import token_file_digest
 
@@ -33,6 +35,10 @@ def op2_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_file_digest(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -63,6 +69,11 @@ def op8_prefix_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.prefix_examples(turns.unionByName(own)))
 
 
+def op9_n_best_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -71,11 +82,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_projected_neighbours": op2_projected_neighbours,
+    "op3_license_scan": op3_license_scan,
     "op4_token_files": op4_token_files,
     "op5_compression_bands": op5_compression_bands,
     "op6_order_minhash": op6_order_minhash,
     "op7_soft_mixing": op7_soft_mixing,
     "op8_prefix_examples": op8_prefix_examples,
+    "op9_n_best_segmentation": op9_n_best_segmentation,
     "op10_token_counts": op10_token_counts,
 }
 
