@@ -153,7 +153,10 @@ def search_block(
     r2: float,
     quantile: float,
 ) -> list[tuple[int, float]]:
-    """The k best of a block for one query: (id, score), by the stopping test."""
+    """The k best of a block for one query: (id, score), by the stopping test.
+
+    Scores below the bound are left out: k others are known to be better.
+    """
     qid, q, qp, bound = query
     q2 = float(q @ q) + r2
     best_ids = np.empty(0, np.int64)
@@ -169,7 +172,8 @@ def search_block(
             [leaves.order[leaves.ends[o] : leaves.ends[o + 1]] for o in order[at : at + step]]
         )
         s = scores(x[rows], q)
-        rows, s = rows[ids[rows] != qid], s[ids[rows] != qid]
+        own = (ids[rows] != qid) & (s >= bound)
+        rows, s = rows[own], s[own]
         best_ids, best = np.concatenate([best_ids, ids[rows]]), np.concatenate([best, s])
         ranked = np.lexsort((best_ids, -best))[:k]
         best_ids, best = best_ids[ranked], best[ranked]
