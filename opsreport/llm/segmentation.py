@@ -18,8 +18,8 @@ part's best, and the N best change at most N - 1 parts, which are among the N -
 way loses least. Within a part the lattice falls apart once more wherever no piece holds two
 neighbouring characters side by side. A model with other pieces is searched over its whole lattice.
 
-Equal scores go to the segmentation with the smaller ids, compared from the left, within a part;
-between parts the later part changes first. Texts keep all characters: the decoder turns marks
+Equal scores come in the order in which the search meets them: what was met last goes on first,
+and between parts the later part changes first. Texts keep all characters: the decoder turns marks
 back into spaces, bytes into characters and drops the prefix space. The literal mark of a space
 in a text cannot be told from a space and decodes to one. Null and empty texts have one
 segmentation without pieces.
@@ -41,7 +41,7 @@ from opsreport.llm.common import record, struct_column, text_or_empty
 
 MARK = "▁"
 N_BEST = 4
-MEMO = 200_000
+MEMO = 400_000
 UNKNOWN_PENALTY = 10.0
 
 ENCODED, ENCODED_ARROW = record(
@@ -79,9 +79,12 @@ class Pieces:
         scores = [self.score[i] for i in self.id.values()]
         self.unknown = min(scores, default=0.0) - UNKNOWN_PENALTY
         self.unknown_id = sp.unk_id()
-        self.longest = max(map(len, self.id), default=1)
         self.parted = not any(MARK in p.lstrip(MARK) for p in self.id)
-        self.openings = {p[:k] for p in self.id for k in range(1, len(p) + 1)}
+        # Score and ids of each piece; empty for what only begins one.
+        self.openings: dict[str, tuple] = {
+            p[:k]: () for p in self.id for k in range(1, len(p) + 1)
+        }
+        self.openings |= {p: (self.score[i], (i,)) for p, i in self.id.items()}
         self.pairs = {p[k : k + 2] for p in self.id for k in range(len(p) - 1)}
         self.cuts: dict[str, tuple[float, float, bytes]] = {}
         self.memo: dict[str, tuple[float, float, bytes]] = {}
@@ -95,39 +98,44 @@ class Pieces:
 
     # -- the lattice
 
-    def n_best(self, text: str, n: int) -> list[Segmentation]:
-        """Up to n segmentations of a part, best first."""
+    def _forward(self, text: str) -> tuple[list[list[tuple]], list[float]]:
+        """For each place the pieces (begin, score, ids) that end there, and the best score."""
         size = len(text)
-        known, openings, score, longest = self.id, self.openings, self.score, self.longest
-        # Forward: for each end place the pieces (begin, score, ids) that end there.
+        opens = self.openings.get
         ends: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
         forward = [0.0] + [float("-inf")] * size
         for begin in range(size):
             base = forward[begin]
             single = False
-            for end in range(begin + 1, min(size, begin + longest) + 1):
-                some = text[begin:end]
-                if some not in openings:
+            for end in range(begin + 1, size + 1):
+                hit = opens(text[begin:end])
+                if hit is None:
                     break
-                i = known.get(some)
-                if i is not None:
-                    s = score[i]
-                    ends[end].append((begin, s, (i,)))
+                if hit:
+                    s, one = hit
+                    ends[end].append((begin, s, one))
                     if base + s > forward[end]:
                         forward[end] = base + s
-                    single |= end == begin + 1
+                    if end == begin + 1:
+                        single = True
             if not single:
                 ids = tuple([self.byte[b] for b in text[begin].encode("utf-8", "replace")])
                 ids = ids if min(ids) >= 0 else (self.unknown_id,)
                 ends[begin + 1].append((begin, self.unknown, ids))
                 forward[begin + 1] = max(forward[begin + 1], base + self.unknown)
-        # Backward: no place can be on more than n of the n best ways.
-        heap: list[tuple[float, tuple[int, ...], int, float]] = [(-forward[size], (), size, 0.0)]
-        seen = [0] * (size + 1)
+        return ends, forward
+
+    def n_best(self, text: str, n: int) -> list[Segmentation]:
+        """Up to n segmentations of a part, best first."""
+        ends, forward = self._forward(text)
+        heap: list[tuple[float, int, int, float, tuple[int, ...]]] = []
+        heap.append((-forward[-1], 0, len(text), 0.0, ()))
+        # No place can be on more than n of the n best ways.
+        seen = [0] * len(ends)
         out: list[Segmentation] = []
-        pop, push = heapq.heappop, heapq.heappush
+        pushed = 0
         while heap and len(out) < n:
-            _, ids, place, own = pop(heap)
+            _, _, place, own, ids = heapq.heappop(heap)
             if place == 0:
                 out.append((own, ids))
                 continue
@@ -135,9 +143,32 @@ class Pieces:
             if seen[place] > n:
                 continue
             for begin, s, piece in ends[place]:
-                push(heap, (-(own + s + forward[begin]), piece + ids, begin, own + s))
+                pushed -= 1
+                score = own + s
+                heapq.heappush(heap, (-(score + forward[begin]), pushed, begin, score, piece + ids))
         return out
 
+    def best_two(self, text: str) -> tuple[float, float, tuple[int, ...]]:
+        """Score and ids of the best, and how much less the second scores.
+
+        The same search where it needs no heap: with an exact heuristic the way to the first
+        result never leaves it, and the second is then the best of what was met on the way.
+        """
+        ends, forward = self._forward(text)
+        best, second = forward[-1], float("-inf")
+        place, own, ids = len(text), 0.0, ()
+        while place:
+            top = float("-inf")
+            for begin, s, piece in ends[place]:
+                rank = own + s + forward[begin]
+                if rank >= top:
+                    second = max(second, top)
+                    top, to, score, taken = rank, begin, s, piece
+                elif rank > second:
+                    second = rank
+            place, own, ids = to, own + score, taken + ids
+        return best, best - second, ids
+
     def _learn(self, parts: set[str]) -> None:
         """For each part: score of the best, loss of the second, ids of the best."""
         for part in parts & self.old.keys():
@@ -153,9 +184,8 @@ class Pieces:
                     cut = part[at:k]
                     known = self.cuts.get(cut)
                     if known is None:
-                        found = self.n_best(cut, 2)
-                        second = found[0][0] - found[1][0] if len(found) > 1 else float("inf")
-                        known = (found[0][0], second, np.array(found[0][1], "<u4").tobytes())
+                        score, second, one = self.best_two(cut)
+                        known = (score, second, np.array(one, "<u4").tobytes())
                         self.cuts[cut] = known
                     best, loss, ids, at = best + known[0], min(loss, known[1]), ids + known[2], k
             self.memo[part] = (best, loss, ids)
