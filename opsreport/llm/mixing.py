@@ -256,15 +256,21 @@ def mixed_rates(
     budget: float | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
+    whole: bool = False,
 ) -> tuple[DataFrame, Model, Fit]:
-    """(id, n, p) of every row, written; the classifier; the fitted rates."""
+    """Every row's id, n, p and draw (and with ``whole`` the row), written once; the classifier;
+    the fitted rates."""
     model = fit(docs, labels, id_col, text_col)
-    own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    own = docs.select(
+        F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *([row] if whole else [])
+    )
     scored = with_posteriors(own, model, "_text").select(
         F.col("_id").alias("id"),
         F.col("_words").alias("n"),
         F.col("_p").alias("p"),
         _draw(F.col("_id"), F.col("_text")).alias("draw"),
+        *(["_row"] if whole else []),
     )
     scored = written(scored, "scored")
     return scored, model, fit_rates(scored, _scaled(model, weights), budget)
@@ -304,17 +310,10 @@ def mixed_documents(
     text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs``, each as often as its copies say, with their own columns."""
-    _, model, fitted = mixed_rates(docs, labels, weights, budget, id_col, text_col)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    packed = docs.select(
-        row, F.col(text_col).alias("_text"), _draw(F.col(id_col), F.col(text_col)).alias("_draw")
-    )
-    rated = with_posteriors(packed, model, "_text").select(
-        "_row", F.floor(rate_of(F.col("_p"), fitted) + F.col("_draw")).cast("int").alias("_copies")
-    )
-    repeated = rated.where("_copies > 0").select(
-        "_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    )
+    # From the written rows: a filter on copies would carry the classifier with it to the scan.
+    scored, _, fitted = mixed_rates(docs, labels, weights, budget, id_col, text_col, whole=True)
+    copies = F.floor(rate_of(F.col("p"), fitted) + F.col("draw")).cast("int")
+    repeated = scored.select("_row", F.explode(F.array_repeat(F.lit(0), copies)))
     return repeated.select([F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
