@@ -26,9 +26,12 @@ def positive_weighted_mean(value: Column | str, weight: Column | str) -> Column:
 def first_nonzero(value: str, dtype: T.DataType, priority: Column) -> Column:
     """Value with the highest priority that is neither NULL nor zero.
 
-    Numbers fall back to 0, everything else to NULL.
+    Numbers fall back to 0, truth values to false, everything else to NULL.
     """
     v = F.col(value)
+    if isinstance(dtype, T.BooleanType):
+        # False is the zero of truth values: the newest true one, or false.
+        return F.coalesce(F.bool_or(v), F.lit(False))
     if isinstance(dtype, T.NumericType):
         best = F.max_by(F.when(v != 0, v), F.when(v != 0, priority))
         return F.coalesce(best, F.lit(0).cast(dtype))

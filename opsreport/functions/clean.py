@@ -6,7 +6,6 @@ code generation and never block filter pushdown.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 from datetime import datetime
 
@@ -69,51 +68,36 @@ def trimmed_eq(c: Column | str, text: str) -> Column:
     return F.trim(col(c)) == F.lit(text)
 
 
-# The date spellings accepted in text columns and snapshot names.
-DATE_FORMATS = ("d.M.yyyy", "yyyy-M-d")
-# Further day-first spellings accepted when consolidating.
-DAY_FIRST_FORMATS = (
-    "d.M.yyyy",
-    "d.M.yyyy HH:mm:ss",
-    "yyyy-M-d",
-    "yyyy-M-d HH:mm:ss",
-    "d/M/yyyy",
-    "d/M/yyyy HH:mm:ss",
-    "d-M-yyyy",
+# A date in figures, day or year first, one separator throughout; then perhaps a time.
+_DATE = (
+    r"^(?:\d{1,2}([./-])\d{1,2}\1\d{4}|\d{4}([./-])\d{1,2}\2\d{1,2})"
+    r"(?:[ T]+\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)?$"
 )
 
 
-# What each part of a date format looks like.
-_PARTS = {
-    "yyyy": r"(\d{4})",
-    "HH": r"(\d{2})",
-    "mm": r"(\d{2})",
-    "ss": r"(\d{2})",
-    "M": r"(\d{1,2})",
-    "d": r"(\d{1,2})",
-}
+def parse_date(c: Column | str) -> Column:
+    """Text to a zone-free timestamp; NULL for any other text.
 
-
-def _in_format(text: Column, fmt: str) -> Column:
-    """The time stamp that a text of this format spells; NULL for any other text.
-
-    Put together from its numbers: the parsers of Spark go through a time zone, where
-    some midnights do not exist.
+    Read as day, month, year or, with four figures in front, as year, month, day, each value
+    on its own. Separators are ``.``, ``/`` and ``-``; the time may lack seconds or carry a
+    fraction, of which microseconds are kept. Put together from its numbers: the parsers of
+    Spark go through a time zone, where some midnights do not exist.
     """
-    pieces = re.findall("|".join(_PARTS) + "|.", fmt)
-    pattern = "^" + "".join(_PARTS.get(p, re.escape(p)) for p in pieces) + "$"
-    order = [p for p in pieces if p in _PARTS]
-
-    def number(part: str) -> Column:
-        if part not in order:
-            return F.lit(0)
-        return F.regexp_extract(text, pattern, order.index(part) + 1).try_cast("int")
-
-    moment = F.try_make_timestamp_ntz(*[number(p) for p in ("yyyy", "M", "d", "HH", "mm", "ss")])
-    return F.when(text.rlike(pattern), moment)
-
-
-def parse_date(c: Column | str, formats: Iterable[str] = DATE_FORMATS) -> Column:
-    """Text to a zone-free timestamp in the first format that fits; NULL if none does."""
     text = F.trim(col(c))
-    return F.coalesce(*[_in_format(text, f) for f in formats])
+    parts = F.split(text, "[^0-9]+")
+
+    def number(k: int) -> Column:
+        return F.coalesce(F.get(parts, F.lit(k)).try_cast("int"), F.lit(0))
+
+    year_first = F.length(F.get(parts, F.lit(0))) == 4
+    fraction = F.substring(F.coalesce(F.get(parts, F.lit(6)), F.lit("0")), 1, 6)
+    seconds = F.concat(number(5).cast("string"), F.lit("."), fraction).try_cast("decimal(16,6)")
+    moment = F.try_make_timestamp_ntz(
+        F.when(year_first, number(0)).otherwise(number(2)),
+        number(1),
+        F.when(year_first, number(2)).otherwise(number(0)),
+        number(3),
+        number(4),
+        seconds,
+    )
+    return F.when(text.rlike(_DATE), moment)

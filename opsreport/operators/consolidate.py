@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsreport.functions.aggregates import first_nonzero
-from opsreport.functions.clean import DAY_FIRST_FORMATS, nan_to_null, parse_date
+from opsreport.functions.clean import nan_to_null, parse_date
 from opsreport.sources.snapshots import SOURCE_COLUMNS
 
 
@@ -23,7 +23,7 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
 def limit_dates(df: DataFrame, column: str, limit: date | None) -> DataFrame:
     """Parse the date column; drop rows without a readable date or later than the limit."""
     if isinstance(df.schema[column].dataType, T.StringType):
-        parsed = parse_date(column, DAY_FIRST_FORMATS)
+        parsed = parse_date(column)
     else:
         parsed = F.col(column).cast("timestamp_ntz")
     df = df.withColumn(column, parsed).where(F.col(column).isNotNull())
