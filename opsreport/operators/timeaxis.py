@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from datetime import date, datetime, timedelta
+from dataclasses import dataclass
+from datetime import date, timedelta
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,21 +16,48 @@ from opsreport.operators.asof import latest_effective
 # Fixed value: days to look back when no range is asked for.
 DEFAULT_LOOK_BACK = 16
 
-# Date spellings accepted from the caller.
-_ARGUMENT_FORMATS = ("%d.%m.%Y", "%Y-%m-%d")
+_GIVEN = re.compile(r"(?P<d>\d{1,2})\.(?P<m>\d{1,2})\.(?P<y>\d{4})|(?P<iso>\d{4}-\d{1,2}-\d{1,2})")
 
 
-def argument_date(text: str | date) -> date:
-    if isinstance(text, datetime):
-        return text.date()
-    if isinstance(text, date):
-        return text
-    for fmt in _ARGUMENT_FORMATS:
-        try:
-            return datetime.strptime(text, fmt).date()
-        except ValueError:
-            pass
-    raise ValueError(f"not a date in dd.mm.yyyy or yyyy-mm-dd: {text!r}")
+def argument_date(given: str | date) -> date:
+    """A date as callers give it: dd.mm.yyyy, yyyy-mm-dd, or a date already."""
+    if isinstance(given, date):
+        return date(given.year, given.month, given.day)
+    found = _GIVEN.fullmatch(given)
+    if not found:
+        raise ValueError(f"not a date in dd.mm.yyyy or yyyy-mm-dd: {given!r}")
+    year, month, day = (found["iso"] or "-".join(found.group("y", "m", "d"))).split("-")
+    return date.fromisoformat(f"{year}-{month:0>2}-{day:0>2}")
+
+
+@dataclass(frozen=True)
+class DateRange:
+    """The dates of a run: inclusive ends, and the last date that is consolidated."""
+
+    first: date
+    last: date
+    limit: date
+
+    def __post_init__(self) -> None:
+        if self.first > self.last:
+            raise ValueError(f"no dates from {self.first} to {self.last}")
+
+    @classmethod
+    def given(cls, first: date, last: date, today: date) -> DateRange:
+        """Ends named by the caller; nothing later than today is reported."""
+        return cls(first, min(last, today), min(last, today))
+
+    @classmethod
+    def back(cls, days: int, today: date, open_day: bool) -> DateRange:
+        """So many days before today. An open day is reported but not consolidated."""
+        if days < 0:
+            raise ValueError("days must not be negative")
+        return cls(today - timedelta(days), today, today - timedelta(int(open_day)))
+
+    def dates(self) -> list[date]:
+        """Every date up to the limit."""
+        stop = min(self.last, self.limit).toordinal()
+        return [date.fromordinal(n) for n in range(self.first.toordinal(), stop + 1)]
 
 
 def resolve_range(
@@ -37,35 +66,16 @@ def resolve_range(
     end: str | date | None = None,
     days: int | None = None,
     look_back: int = DEFAULT_LOOK_BACK,
-) -> tuple[date, date, date]:
-    """First date, last date and consolidation limit of a run.
-
-    Without arguments the range ends today and the limit is yesterday; any argument
-    moves the limit to the end of the range.
-    """
-    if days is not None and (start or end):
-        raise ValueError("give either days or start and end, not both")
-    if bool(start) != bool(end):
-        raise ValueError("start and end go together")
-    if days is not None and days < 0:
-        raise ValueError("days must not be negative")
-    if start and end:
-        first, last = argument_date(start), argument_date(end)
-    else:
-        first, last = today - timedelta(days=look_back if days is None else days), today
-    last = min(last, today)
-    limit = last if (start or days is not None) else today - timedelta(days=1)
-    if last < first:
-        raise ValueError("the range ends before it starts")
-    return first, last, limit
-
-
-def report_dates(first: date, last: date, limit: date | None = None) -> list[date]:
-    """Every date of the range up to the limit."""
-    if last < first:
-        raise ValueError("the range ends before it starts")
-    stop = last if limit is None else min(last, limit)
-    return [first + timedelta(days=i) for i in range((stop - first).days + 1)]
+) -> DateRange:
+    """The range that the caller's words ask for: two dates, or days back, or neither."""
+    match (start or None, end or None, days):
+        case (None, None, None):
+            return DateRange.back(look_back, today, open_day=True)
+        case (None, None, int(n)):
+            return DateRange.back(n, today, open_day=False)
+        case (str() | date(), str() | date(), None):
+            return DateRange.given(argument_date(start), argument_date(end), today)
+    raise ValueError("a range is two dates, or a number of days, or nothing")
 
 
 def dates_frame(spark: SparkSession, dates: Sequence[date], name: str = "report_date") -> DataFrame:

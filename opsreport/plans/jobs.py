@@ -7,11 +7,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsreport.operators.consolidate import consolidate, limit_dates, summarize
-from opsreport.operators.timeaxis import DEFAULT_LOOK_BACK, report_dates, resolve_range
+from opsreport.operators.timeaxis import DEFAULT_LOOK_BACK, resolve_range
 from opsreport.operators.treatment import treat
 from opsreport.plans.report import plant_report
 from opsreport.sources.snapshots import (
@@ -66,14 +67,15 @@ def isolated(
 ) -> None:
     """Do all dates in one job; only if that fails, retry in ever smaller parts.
 
-    A date that fails on its own is logged, and the others go on.
+    A date that fails on its own is logged, and the others go on. What is wrong with the
+    tables or the plan itself is wrong for every date, so it fails all of them at once.
     """
     try:
         work(dates)
         outcome.written.extend(dates)
-    except Exception:
-        if len(dates) == 1:
-            log.exception("report of %s failed", dates[0])
+    except Exception as error:
+        if len(dates) == 1 or isinstance(error, AnalysisException):
+            log.exception("report of %s to %s failed", dates[0], dates[-1])
             outcome.failed.extend(dates)
             return
         log.warning("%d dates failed together, retrying in parts", len(dates), exc_info=True)
@@ -106,7 +108,7 @@ def run_report(
 
     def work(part: Sequence[date]) -> None:
         # A few hundred rows, needed by both snapshots.
-        report = plant_report(spark, inputs, part, plan_type).persist()
+        report = plant_report(spark, inputs, part, plan_type, in_order=False).persist()
         try:
             treated = treat(report, strict, (PARTITION,))
             for df, path in ((report, store.raw), (treated, store.treated)):
@@ -156,10 +158,10 @@ def run(
     today: date | None = None,
 ) -> int:
     """A whole run: resolve the range, write the snapshots, consolidate; 0 when done."""
-    first, last, limit = resolve_range(today or date.today(), start, end, days, look_back)
+    span = resolve_range(today or date.today(), start, end, days, look_back)
     store = Store(root)
     outcome = run_report(
-        spark, inputs, report_dates(first, last, limit), store, force, plan_type, strict
+        spark, inputs, span.dates(), store, force, plan_type, strict
     )
     log.info(
         "dates written %d, stored before %d, failed %d",
@@ -167,4 +169,4 @@ def run(
         len(outcome.skipped),
         len(outcome.failed),
     )
-    return run_consolidation(spark, store, limit, force)
+    return run_consolidation(spark, store, span.limit, force)

@@ -39,7 +39,7 @@ AREAS: dict[str, Area] = {
     "ipc": Area("310 BRITAGEM IPC", "Planejamento - Britagem IPC", "Ipc"),
     "mmd": Area("310 BRITAGEM MMD", "Planejamento - Britagem MMD", "Mmd"),
     "jaw": Area("310 BRITAGEM C160", "Planejamento - Britagem Mandíbula", "Mandibulas"),
-    "mill": Area("330 MOAGEM", "Planejamento - Moagem", "Planta"),
+    "mill": Area("330 MOAGEM", "Planejamento - Moagem", "Moagem"),
 }
 
 # KPI rows of the downtime table.

@@ -4,6 +4,7 @@ import pytest
 from conftest import plant_of, plant_rows, t
 
 from opsreport import __main__ as main_module
+from opsreport.operators.treatment import RENAME_MAP
 from opsreport.plans import jobs
 from opsreport.plans.jobs import Outcome, Store, in_parts, isolated, run, run_report
 from opsreport.sources.schema import TABLES, conform
@@ -52,7 +53,7 @@ def test_a_run_writes_skips_and_consolidates(spark, tmp_path, monkeypatch):
     merged = {r.Data.day: r for r in spark.read.parquet(store.consolidated).collect()}
     # Only days up to the limit, the second from the report of the second.
     assert sorted(merged) == [1, 2]
-    assert merged[2]["Alimentação Planta"] == pytest.approx(900.0)
+    assert merged[2][RENAME_MAP["AlimentacaoPlantaReal"]] == pytest.approx(900.0)
     assert merged[2]["Produtividade"] == pytest.approx(900 / 16)
 
 

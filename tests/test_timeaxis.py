@@ -5,10 +5,10 @@ from conftest import by_day, t, table
 
 from opsreport.operators.intervals import assign_period
 from opsreport.operators.timeaxis import (
+    DateRange,
     argument_date,
     dates_frame,
     period_spine,
-    report_dates,
     resolve_range,
 )
 
@@ -16,19 +16,20 @@ TODAY = date(2024, 3, 10)
 
 
 def test_default_range_looks_back_sixteen_days_and_stops_yesterday():
-    first, last, limit = resolve_range(TODAY)
-    assert (first, last, limit) == (date(2024, 2, 23), TODAY, date(2024, 3, 9))
-    assert len(report_dates(first, last, limit)) == 16
+    got = resolve_range(TODAY)
+    assert got == DateRange(date(2024, 2, 23), TODAY, date(2024, 3, 9))
+    assert len(got.dates()) == 16 and got.dates()[-1] == date(2024, 3, 9)
 
 
 def test_days_and_explicit_ranges_move_the_limit_to_the_end():
-    assert resolve_range(TODAY, days=0) == (TODAY, TODAY, TODAY)
+    assert resolve_range(TODAY, days=0) == DateRange(TODAY, TODAY, TODAY)
     got = resolve_range(TODAY, start="01.03.2024", end="2024-03-05")
-    assert got == (date(2024, 3, 1), date(2024, 3, 5), date(2024, 3, 5))
+    assert got == DateRange(date(2024, 3, 1), date(2024, 3, 5), date(2024, 3, 5))
 
 
 def test_a_future_end_is_clipped_to_today():
-    assert resolve_range(TODAY, start="2024-03-01", end="2024-12-31")[1:] == (TODAY, TODAY)
+    got = resolve_range(TODAY, start="2024-03-01", end="2024-12-31")
+    assert (got.last, got.limit) == (TODAY, TODAY)
 
 
 @pytest.mark.parametrize(
@@ -49,8 +50,11 @@ def test_bad_ranges_are_refused(args):
 
 def test_argument_dates():
     assert argument_date("31.12.2023") == argument_date("2023-12-31") == date(2023, 12, 31)
-    with pytest.raises(ValueError):
-        argument_date("31.12.23")
+    assert argument_date("1.2.2024") == date(2024, 2, 1)
+    assert argument_date(datetime(2024, 2, 1, 5)) == date(2024, 2, 1)
+    for bad in ("31.12.23", "2024-13-01", "30.02.2024", ""):
+        with pytest.raises(ValueError):
+            argument_date(bad)
 
 
 def spine_of(spark, shifts, *dates):
@@ -103,7 +107,7 @@ def test_readings_fall_in_half_open_periods(spark):
     ]
     readings = spark.createDataFrame([(datetime.fromisoformat(m),) for m in moments],
                                      "ts timestamp_ntz")
-    got = {r.ts: r.day.day for r in assign_period(readings, spine, "ts", 31).collect()}
+    got = {r.ts: r.day.day for r in assign_period(readings, spine, "ts").collect()}
     assert got == {
         datetime.fromisoformat(moments[1]): 1,
         datetime.fromisoformat(moments[2]): 1,
@@ -112,14 +116,13 @@ def test_readings_fall_in_half_open_periods(spark):
     }
 
 
-@pytest.mark.parametrize("days", [None, 31])
-def test_every_reading_has_at_most_one_period(spark, days):
+def test_every_reading_has_at_most_one_period(spark):
     shifts = [(t("2023-01-01"), 1, 360), (t("2024-01-10"), 1, 1380), (t("2024-01-20"), 1, 0)]
     spine = spine_of(spark, shifts, date(2024, 1, 5))
     start = datetime(2023, 12, 30)
     times = [(start + timedelta(minutes=17 * i),) for i in range(3000)]
     readings = spark.createDataFrame(times, "ts timestamp_ntz")
-    got = assign_period(readings, spine, "ts", days).collect()
+    got = assign_period(readings, spine, "ts").collect()
     periods = [(r.start, r.end) for r in spine.collect()]
     want = [ts for (ts,) in times if any(a <= ts < b for a, b in periods)]
     assert sorted(r.ts for r in got) == want
