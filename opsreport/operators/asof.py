@@ -171,12 +171,11 @@ def month_factors(needed: DataFrame, factors: DataFrame, day: str, names: list[s
     """Add the factors of each day's month.
 
     A NULL factor in an existing row reads as zero; a month without a row leaves NULL.
-    Of several rows for one month the greatest wins. The table is broadcast: one row per
-    month of the years 1 to 9999 is the most it can hold, about five megabytes.
+    Of several rows for one month the greatest wins. Spark sees the size of the table after
+    the grouping and broadcasts it if it is small.
     """
     table = (
-        factors.where(F.col("month").between(1, 12) & F.col("year").between(1, 9999))
-        .groupBy("year", "month")
+        factors.groupBy("year", "month")
         .agg(F.max(F.struct(*names)).alias("_f"))
         .select(
             F.col("year").cast("int").alias("_year"),
@@ -185,5 +184,5 @@ def month_factors(needed: DataFrame, factors: DataFrame, day: str, names: list[s
         )
     )
     keyed = needed.withColumns({"_year": F.year(day), "_month": F.month(day)})
-    joined = keyed.join(F.broadcast(table), ["_year", "_month"], "left")
+    joined = keyed.join(table, ["_year", "_month"], "left")
     return joined.select(*needed.columns, *names)

@@ -5,29 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A century of days is about five megabytes of spine, far below what an executor holds.
-BROADCAST_DAYS = 36_600
-
-
 def assign_period(
     readings: DataFrame,
     spine: DataFrame,
     ts: str = "ts",
-    spine_days: int | None = None,
 ) -> DataFrame:
     """Inner join of readings to the period with ``start <= ts < end``.
 
     The spine is spread over the calendar dates each period touches, which turns the
-    range join into an equality join with a residual range check. A spine whose day
-    count is known and small is broadcast; otherwise Spark decides from the size it
-    sees at run time.
+    range join into an equality join with a residual range check. Spark broadcasts the
+    spine by its own size check: a pinned one has an exact size.
     """
     covered = F.sequence(
         F.to_date("start"), F.to_date(F.col("end") - F.expr("INTERVAL '0.000001' SECOND"))
     )
     spread = spine.where(F.col("start") < F.col("end")).withColumn("_date", F.explode(covered))
-    if spine_days is not None and spine_days <= BROADCAST_DAYS:
-        spread = F.broadcast(spread)
     keyed = readings.withColumn("_date", F.to_date(ts))
     return (
         keyed.join(spread, "_date")

@@ -41,13 +41,11 @@ def factored_sum(
     return totals.join(rates, day).select(day, *[(scale * F.col(n)).alias(n) for n in measures])
 
 
-def crusher_feed(
-    scales: DataFrame, factors: DataFrame, spine: DataFrame, spine_days: int | None = None
-) -> DataFrame:
+def crusher_feed(scales: DataFrame, factors: DataFrame, spine: DataFrame) -> DataFrame:
     """Tonnes of each crusher line per shift day."""
     lines = ["ipc_t", "mmd_t", "c160_t"]
     scales = sentinel_to_null(scales, lines)
-    placed = assign_period(scales, spine.select("day", "start", "end"), "ts", spine_days)
+    placed = assign_period(scales, spine.select("day", "start", "end"), "ts")
     ipc, mmd, jaw = (or_zero(c) for c in lines)
     return factored_sum(
         placed,
@@ -173,9 +171,7 @@ def production_totals(readings: DataFrame, day: str = "day") -> DataFrame:
     )
 
 
-def mill_production(
-    inputs: dict[str, DataFrame], spine: DataFrame, spine_days: int | None = None
-) -> DataFrame:
+def mill_production(inputs: dict[str, DataFrame], spine: DataFrame) -> DataFrame:
     """Mill readings with repaired grades, summed up per shift day."""
     assays = inputs["assays"]
     readings = mill_readings(
@@ -184,9 +180,8 @@ def mill_production(
         inputs["concentrate"],
         assays.where(is_assay(MOISTURE)),
     )
-    placed = assign_period(
-        readings, spine.select("day", "start", "end", "floor"), "ts", spine_days
-    ).drop("start", "end")
+    placed = assign_period(readings, spine.select("day", "start", "end", "floor"), "ts")
+    placed = placed.drop("start", "end")
     graded = [is_assay(k) for k in GRADES.values()]
     wanted = graded[0]
     for other in graded[1:]:

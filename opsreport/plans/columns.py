@@ -47,7 +47,7 @@ def actual_columns() -> Named:
     out: Named = [
         *[(f"Alimentacao{_label(a)}", or_zero(tonnes[a])) for a in CRUSHERS],
         (f"Alimentacao{COMBINED}", or_zero("crusher_feed")),
-        (f"Alimentacao{_label('mill')}", or_zero(feed)),
+        ("AlimentacaoPlanta", or_zero(feed)),
         ("P80Flotacao", c("p80")),
         ("TeorAlimentacaoCobre", c("feed_cu")),
         ("TeorAlimentacaoOuro", c("feed_au")),
@@ -141,7 +141,7 @@ def plan_columns(scenario: str) -> Named:
     out: Named = [
         *[(f"Alimentacao{_label(a)}", feed[a]) for a in CRUSHERS],
         (f"Alimentacao{COMBINED}", or_zero(feed["mmd"]) + or_zero(feed["jaw"])),
-        (f"Alimentacao{_label('mill')}", feed["mill"]),
+        ("AlimentacaoPlanta", feed["mill"]),
         *[(f"TeorAlimentacao{METALS[m]}", plan(f"{m}_grade")) for m in METALS],
         *[(f"TeorConcentrado{METALS[m]}", plan(f"{m}_conc")) for m in METALS],
         *[(f"TeorRejeito{METALS[m]}", plan_tails(m, scenario)) for m in METALS],

@@ -9,7 +9,7 @@ plans to the end of its month.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from opsreport.functions.clean import at
 from opsreport.functions.metrics import silver_ounces
 from opsreport.operators.asof import latest_effective
-from opsreport.operators.intervals import BROADCAST_DAYS
 from opsreport.operators.pivots import area_plan_pivot, kpi_pivot, production_plan_pivot
 from opsreport.operators.readings import crusher_feed, mill_production
 from opsreport.operators.timeaxis import dates_frame, period_spine
@@ -28,40 +27,59 @@ READING_TABLES = ("scale_readings", "mill_readings", "particle_size", "concentra
 DAY_TABLES = ("shipments", "area_plans", "production_plans", "daily_factor", "downtime_kpis")
 
 
-def pinned(calendar: DataFrame, days: int) -> DataFrame:
+def pinned(calendar: DataFrame) -> DataFrame:
     """A calendar table worked out once and held in the plan as literal rows.
 
-    Its size is known beforehand: one row per day of the months asked for. It is used in
-    several joins and gives the time range of the scans. A calendar too long to broadcast
-    stays a query.
+    Its size is bounded by what the caller names: one row per day of the months asked for.
+    It is used in several joins and gives the time range of the scans.
     """
-    if days > BROADCAST_DAYS:
-        return calendar
     return calendar.sparkSession.createDataFrame(calendar.toArrow(), calendar.schema)
 
 
+def month_runs(dates: Sequence[date]) -> list[tuple[date, date]]:
+    """First day and day after the last of every run of adjacent months."""
+    months = sorted({12 * d.year + d.month - 1 for d in dates})
+    first = lambda m: date(m // 12, m % 12 + 1, 1)
+    runs: list[list[int]] = []
+    for m in months:
+        if runs and runs[-1][1] == m:
+            runs[-1][1] = m + 1
+        else:
+            runs.append([m, m + 1])
+    return [(first(a), first(b)) for a, b in runs]
+
+
 def narrowed(
     inputs: dict[str, DataFrame], spine: DataFrame, dates: Sequence[date]
 ) -> dict[str, DataFrame]:
-    """Inputs cut to the time range of the run by literals that reach the scans."""
-    start, end, floor = spine.agg(F.min("start"), F.max("end"), F.min("floor")).first()
-    first_day = F.lit(min(dates).replace(day=1)).cast("timestamp_ntz")
-    after = (max(dates).replace(day=1) + timedelta(days=32)).replace(day=1)
-    last_day = F.lit(after).cast("timestamp_ntz")
+    """Inputs cut to the time range of the run by literals that reach the scans.
+
+    Every run of adjacent months has a range of its own.
+    """
+    edges = {r["month"].date(): r for r in spine.groupBy("month").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min("floor").alias("floor")
+    ).collect()}
+    days = days_back = ts_in = F.lit(False)
+    ts, day = F.col("ts"), F.col("day")
+    for first, after in month_runs(dates):
+        midnight = [F.lit(d).cast("timestamp_ntz") for d in (first, after)]
+        days = days | ((day >= midnight[0]) & (day < midnight[1]))
+        own = [r for m, r in edges.items() if first <= m < after and r["start"] and r["end"]]
+        # Without any shift in force no reading belongs to a day.
+        if own:
+            end = at(max(r["end"] for r in own))
+            ts_in = ts_in | ((ts >= at(min(r["start"] for r in own))) & (ts < end))
+            days_back = days_back | ((ts > at(min(r["floor"] for r in own))) & (ts < end))
     out = dict(inputs)
-    # Without any shift in force no reading belongs to a day.
-    ts = F.col("ts")
-    in_range = (ts >= at(start)) & (ts < at(end)) if start else F.lit(False)
-    with_look_back = (ts > at(floor)) & (ts < at(end)) if start else F.lit(False)
     for name in READING_TABLES:
-        out[name] = inputs[name].where(in_range)
-    out["assays"] = inputs["assays"].where(with_look_back)
+        out[name] = inputs[name].where(ts_in)
+    out["assays"] = inputs["assays"].where(days_back)
     for name in DAY_TABLES:
-        out[name] = inputs[name].where((F.col("day") >= first_day) & (F.col("day") < last_day))
+        out[name] = inputs[name].where(days)
     return out
 
 
-def with_shipments(grid: DataFrame, shipments: DataFrame, small: bool) -> DataFrame:
+def with_shipments(grid: DataFrame, shipments: DataFrame) -> DataFrame:
     """Left join of the grid to the shipments of past days.
 
     Several shipments of one day give several rows. Written as inner join plus the rest
@@ -71,9 +89,8 @@ def with_shipments(grid: DataFrame, shipments: DataFrame, small: bool) -> DataFr
     silver = shipments.select(
         F.col("day").alias("_ship_day"), silver_ounces("mass", "ag_grade").alias("silver_oz")
     )
-    side = F.broadcast(grid) if small else grid
     past = (F.col("_ship_day") == F.col("day")) & (F.col("_ship_day") <= F.col("report_date"))
-    hits = silver.join(side, past).select(*grid.columns, "silver_oz")
+    hits = silver.join(grid, past).select(*grid.columns, "silver_oz")
     keys = ["report_date", "day"]
     rest = grid.join(hits.select(*keys).distinct(), keys, "left_anti")
     return hits.unionByName(rest.withColumn("silver_oz", F.lit(None).cast("double")))
@@ -108,17 +125,15 @@ def day_facts(
     if not dates:
         raise ValueError("no report dates")
     asked = dates_frame(spark, dates)
-    days = 31 * len({(d.year, d.month) for d in dates})
-    spine = pinned(period_spine(asked, inputs["shifts"]), days)
+    spine = pinned(period_spine(asked, inputs["shifts"]))
     inputs = narrowed(inputs, spine, dates)
-    small = 31 * len(dates) <= BROADCAST_DAYS
 
     month = F.trunc("report_date", "MM").cast("timestamp_ntz")
     grid = asked.withColumn("month", month).join(spine.select("month", "day", "hours"), "month")
-    grid = with_shipments(grid.drop("month"), inputs["shipments"], small)
+    grid = with_shipments(grid.drop("month"), inputs["shipments"])
     actuals = [
-        crusher_feed(inputs["scale_readings"], inputs["daily_factor"], spine, days),
-        mill_production(inputs, spine, days),
+        crusher_feed(inputs["scale_readings"], inputs["daily_factor"], spine),
+        mill_production(inputs, spine),
         kpi_pivot(inputs["downtime_kpis"]),
     ]
     plans = [
@@ -142,12 +157,13 @@ def plant_report(
     inputs: dict[str, DataFrame],
     dates: Sequence[date],
     plan_type: int | None = None,
+    in_order: bool = True,
 ) -> DataFrame:
     """The report of every date: ``report_date`` and the 251 report columns.
 
-    ``plan_type`` selects the budget; without it every budget column is zero.
+    ``plan_type`` selects the budget; without it every budget column is zero. Who writes the
+    rows away does not need them ``in_order``.
     """
     facts = day_facts(spark, inputs, dates, plan_type)
-    return facts.select(
-        "report_date", *[value.alias(name) for name, value in report_columns()]
-    ).orderBy("report_date", "PeriodIndex")
+    report = facts.select("report_date", *[value.alias(name) for name, value in report_columns()])
+    return report.orderBy("report_date", "PeriodIndex") if in_order else report
