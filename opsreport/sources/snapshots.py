@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,10 +25,13 @@ PARTITION = "report_date"
 STAMP = "snapshot_at"
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet data below a path, or None if there is none yet."""
+def stored(spark: SparkSession, path: str, merged: bool = False) -> DataFrame | None:
+    """The Parquet data below a path, or None if there is none yet.
+
+    Only with ``merged`` are the columns of all files looked up.
+    """
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        return spark.read.option("mergeSchema", str(merged).lower()).parquet(path)
     except AnalysisException as error:
         # No folder yet, or a folder without data files.
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
@@ -36,12 +39,18 @@ def stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def partition_date() -> Column:
+    """The report date of a stored row; NULL in a folder whose name is no date."""
+    return F.expr(f"try_cast({PARTITION} as date)")
+
+
 def stored_dates(spark: SparkSession, path: str, dates: Sequence[date]) -> set[date]:
     """Which of the given report dates have a snapshot; never more rows than given."""
     have = stored(spark, path)
     if have is None:
         return set()
-    found = have.where(F.col(PARTITION).isin(*dates)).select(PARTITION).distinct()
+    day = partition_date()
+    found = have.where(day.isin(*dates)).select(day).distinct()
     return {row[0] for row in found.collect()}
 
 
@@ -63,11 +72,15 @@ def write_snapshot(
 
     def partitions() -> DataFrame | None:
         have = stored(spark, path)
-        return have if have is None or dates is None else have.where(F.col(PARTITION).isin(*dates))
+        if have is None:
+            return None
+        return have.where(
+            partition_date().isNotNull() if dates is None else partition_date().isin(*dates)
+        )
 
     have = None if force else partitions()
     if have is not None:
-        seen = have.select(F.col(PARTITION).cast("date").alias(PARTITION)).distinct()
+        seen = have.select(partition_date().alias(PARTITION)).distinct()
         df = df.join(seen, PARTITION, "left_anti")
     # Brings the few rows of a report date together into one file; a date that turns out
     # large is split at run time.
@@ -78,7 +91,9 @@ def write_snapshot(
     else:
         writer.mode("append").parquet(path)
     now = partitions()
-    return 0 if now is None else now.where(F.col(STAMP) == clean.at(at)).count()
+    if now is None or STAMP not in now.columns:
+        return 0
+    return now.where(F.col(STAMP) == clean.at(at)).count()
 
 
 def read_snapshots(
@@ -89,10 +104,10 @@ def read_snapshots(
     Folders whose name is not a date are skipped. The limit is a partition filter, so
     later snapshots are not read. A missing date reads as the report date.
     """
-    df = stored(spark, path)
+    df = stored(spark, path, merged=True)
     if df is None:
         return None
-    day = F.expr(f"try_cast({PARTITION} as date)")
+    day = partition_date()
     df = df.where(day.isNotNull())
     if limit is not None:
         df = df.where(day <= F.lit(limit))

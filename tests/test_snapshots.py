@@ -53,6 +53,11 @@ def test_later_snapshots_are_pruned_and_bad_names_skipped(spark, tmp_path):
         f"{path}/report_date=unknown"
     )
     assert [v[0] for v in values(spark, path)] == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    # Such a folder neither hides stored dates nor stops later runs.
+    assert stored_dates(spark, path, [D1, D3, date(2024, 5, 1)]) == {D1, D3}
+    more = frame(spark, (D3, t("2024-01-03"), 8.0), (date(2024, 1, 4), t("2024-01-04"), 4.0))
+    assert write_snapshot(more, path) == 1
+    assert write_snapshot(frame(spark, (D1, t("2024-01-01"), 6.0)), path, force=True) == 1
 
 
 def test_a_missing_date_column_reads_as_the_report_date(spark, tmp_path):
