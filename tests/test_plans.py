@@ -30,7 +30,7 @@ def stored_plant(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def spine(spark):
     shifts = table(spark, "shifts", [(t("2023-12-01"), 1, 360)])
-    return pinned(period_spine(dates_frame(spark, [date(2024, 1, 2)]), shifts), 31)
+    return pinned(period_spine(dates_frame(spark, [date(2024, 1, 2)]), shifts))
 
 
 def test_no_plan_joins_every_row_with_every_row(spark, stored_plant):
@@ -44,7 +44,7 @@ def test_nothing_runs_in_python(spark, stored_plant):
 
 
 def test_periods_are_assigned_without_moving_the_readings(stored_plant, spine):
-    text = plan(assign_period(stored_plant["scale_readings"], spine, "ts", 31))
+    text = plan(assign_period(stored_plant["scale_readings"], spine, "ts"))
     assert "BroadcastHashJoin" in text
     assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
 
@@ -55,7 +55,7 @@ def test_the_spine_keeps_zone_free_types(spine):
 
 def test_crusher_feed_sums_before_it_shuffles(stored_plant, spine):
     scales, factors = stored_plant["scale_readings"], stored_plant["daily_factor"]
-    text = plan(crusher_feed(scales, factors, spine, 31))
+    text = plan(crusher_feed(scales, factors, spine))
     before = text.split("Exchange hashpartitioning")
     assert len(before) == 3  # one exchange per side, both of day totals
     assert all("partial_sum" in part or "partial_avg" in part for part in before[1:])

@@ -7,6 +7,7 @@ correlated subqueries, real many-to-many joins and real full joins.
 from __future__ import annotations
 
 from opsreport.sources.codes import AREAS, GRADES, HOUR_ORDERS, KPI_ORDERS, STOCK_FACTORS
+from opsreport.operators.treatment import KEY, RENAME_MAP
 from workload.standins import cte
 
 REPORT_DATES = ("2024-01-10", "2024-01-20")
@@ -241,7 +242,7 @@ def grid(dates: list[str]) -> list[str]:
     ]
 
 
-_NAMES = {"ipc": "Ipc", "mmd": "Mmd", "jaw": "Mandibulas", "mill": "Planta"}
+_NAMES = {"ipc": "Ipc", "mmd": "Mmd", "jaw": "Mandibulas"}
 _SUFFIX = {"budget": "Orcado", "short": "CurtoPrazo", "very_short": "CurtissimoPrazo"}
 _OZ = "31.1034768"
 _KLB = "0.453592370380378"
@@ -536,15 +537,7 @@ LEFT JOIN areas ON areas.day = g.day LEFT JOIN prods ON prods.day = g.day
 
 
 def multi_date_sql() -> str:
-    kept = {
-        "AlimentacaoPlantaReal": "Alimentação Planta",
-        "ProdutividadePlantaReal": "Produtividade",
-        "TeorAlimentacaoCobreReal": "Teor Cobre",
-        "TeorAlimentacaoOuroReal": "Teor Ouro",
-        "RecuperacaoCobreReal": "Recuperação Cobre",
-        "RecuperacaoOuroReal": "Recuperação Ouro",
-        "TeorAlimentacaoPiritaReal": "Teor Pirita",
-    }
+    kept = {old: new for old, new in RENAME_MAP.items() if old != KEY}
     actual = actual_sql()
     cols = {
         f'"{new}"': f"CASE WHEN {zero('mill_feed')} = 0 THEN 0 ELSE {actual[old]} END"
@@ -675,26 +668,24 @@ def full_outer_sql() -> str:
     actual = ", ".join(
         f"{wmean(f'l_discount * {i + 1}', 'l_quantity')} AS {m}" for i, m in enumerate(_MEASURES)
     )
-    kinds = {"budget": "2-HIGH", "very_short": "4-NOT SPECIFIED"}
+    kinds = {"budget": "o_orderpriority < '4'", "very_short": "o_orderpriority >= '4'"}
     feeds = ", ".join(
-        f"sum(CASE WHEN o_orderpriority = '{k}' THEN o_totalprice / 1000 ELSE 0 END) AS feed_{s}"
+        f"sum(CASE WHEN {k} THEN o_totalprice / 1000 ELSE 0 END) AS feed_{s}"
         for s, k in kinds.items()
     )
     grades = ", ".join(
-        f"avg(CASE WHEN o_orderpriority = '{k}' THEN (o_custkey % 100) / 10.0 * {i + 1} END) "
-        f"AS {m}_{s}"
+        f"avg(CASE WHEN {k} THEN (o_custkey % 100) / 10.0 * {i + 1} END) AS {m}_{s}"
         for i, m in enumerate(_MEASURES)
         for s, k in kinds.items()
     )
     ctes = [
         f"""t AS (SELECT l_shipdate AS day, sum(l_quantity) AS feed_t, {actual}
-            FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1)""",
-        f"""p AS (SELECT o_orderdate AS day, {feeds} FROM orders
-            WHERE o_orderstatus = 'F' GROUP BY 1)""",
-        f"""q AS (SELECT o_orderdate AS day, {grades},
-              sum(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN o_totalprice / 1000
-                  ELSE 0 END) AS conc_t_very_short
-            FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)""",
+            FROM lineitem GROUP BY 1)""",
+        f"""p AS (SELECT o_orderdate + INTERVAL 6 MONTH AS day, {feeds} FROM orders GROUP BY 1)""",
+        f"""q AS (SELECT o_orderdate - INTERVAL 6 MONTH AS day, {grades},
+              sum(CASE WHEN {kinds['very_short']} THEN o_totalprice / 1000 ELSE 0 END)
+                AS conc_t_very_short
+            FROM orders GROUP BY 1)""",
         f"""acc AS (SELECT p.day, {named(accumulation("p.day < TIMESTAMP '1999-07-01'"))}
             FROM t FULL JOIN p ON t.day = p.day FULL JOIN q ON t.day = q.day GROUP BY p.day)""",
     ]
@@ -735,11 +726,10 @@ _TREAT = {
     '"Teor Ouro"': "max(l_discount)",
     '"Recuperação Cobre"': "min(l_tax)",
     '"Recuperação Ouro"': "max(l_tax)",
-    '"Teor Pirita"': "max(CASE WHEN l_returnflag = 'A' THEN l_tax END)",
+    '"Teor Pirita"': "max(l_tax - l_discount)",
 }
-_IDLE = """coalesce(sum(CASE WHEN l_returnflag = 'A' AND l_linenumber = 1
-                        THEN l_quantity END), 0)"""
-TREAT = f"""SELECT l_shipdate AS "Data", {half_up(_IDLE)} AS "Alimentação Planta",
+_IDLE = "coalesce(sum(l_quantity) % 7, 0)"
+TREAT = f"""SELECT l_shipdate AS "Data", {half_up(_IDLE)} AS "{RENAME_MAP['AlimentacaoPlantaReal']}",
        {rnd({n: f"CASE WHEN {_IDLE} = 0 THEN 0 ELSE {e} END" for n, e in _TREAT.items()})}
 FROM lineitem GROUP BY l_shipdate"""
 
@@ -748,7 +738,7 @@ _SNAPSHOTS = f"""s AS (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS "Data", ts,
   event_id, {', '.join(
       f"CASE WHEN event_type = '{t}' THEN CASE WHEN event_id % 3 = 0 THEN 0 ELSE value END END "
       f"AS {t}" for t in _TYPES)},
-  CASE WHEN event_type = 'click' THEN props END AS note FROM events)"""
+  CASE WHEN event_type = 'click' THEN props END AS note, value > 60 AS high FROM events)"""
 
 
 def _pick(c: str, valid: str, default: str) -> str:
@@ -759,12 +749,13 @@ def _pick(c: str, valid: str, default: str) -> str:
 def consolidate_sql(body: str, where: str = "TRUE") -> str:
     picks = [_pick(t, f"{t} <> 0", "0") for t in _TYPES]
     picks.append(_pick("note", "note IS NOT NULL", "NULL"))
+    picks.append("coalesce(bool_or(high), FALSE) AS high")
     merged = f'm AS (SELECT "Data", {", ".join(picks)} FROM s WHERE {where} GROUP BY "Data")'
     return with_([_SNAPSHOTS, merged], body)
 
 
 SUMMARY = consolidate_sql(
-    """SELECT count(*) AS rows, CAST(7 AS BIGINT) AS columns, min("Data") AS first_date,
+    """SELECT count(*) AS rows, CAST(8 AS BIGINT) AS columns, min("Data") AS first_date,
               max("Data") AS last_date FROM m"""
 )
 
@@ -777,7 +768,7 @@ GROUP BY o_orderpriority, l_returnflag"""
 
 LIMIT_AND_PARSE = f"""SELECT o_orderdate AS "Data", count(*) AS n,
        {half_up('sum(o_totalprice)', 2)} AS total
-FROM orders WHERE o_orderkey % 5 < 3 AND o_orderdate < TIMESTAMP '2000-01-01'
+FROM orders WHERE o_orderkey % 11 NOT IN (3, 10) AND o_orderdate < TIMESTAMP '2000-01-01'
 GROUP BY o_orderdate"""
 
 REPORT_DATES_SQL = """SELECT d.report_date, count(o_orderkey) AS n
@@ -786,9 +777,11 @@ FROM (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL
 LEFT JOIN orders ON o_orderdate = d.report_date
 WHERE d.report_date <= TIMESTAMP '2001-06-30' GROUP BY d.report_date"""
 
-_RESTATED = """coalesce(sum(CASE WHEN event_type = 'click' THEN value END), 0)
-             * CASE WHEN day(min(ts)) >= 20 THEN 2 ELSE 1 END"""
-SNAPSHOTS = f"""SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS "Data", {half_up(_RESTATED)} AS feed
+SNAPSHOTS = "SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS \"Data\", " + rnd({
+    k: f"coalesce(sum(CASE WHEN event_type = '{k}' THEN value END), 0)"
+    "* CASE WHEN day(min(ts)) >= 20 THEN 2 ELSE 1 END"
+    for k in _TYPES
+}) + """
 FROM events WHERE ts < TIMESTAMP '2024-01-29' GROUP BY CAST(ts AS DATE)"""
 
 

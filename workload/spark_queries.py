@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
@@ -31,7 +30,7 @@ from opsreport.operators.readings import (
     mill_readings,
     valid_grade,
 )
-from opsreport.operators.timeaxis import date_span, dates_frame, period_spine
+from opsreport.operators.timeaxis import DateRange, dates_frame, period_spine
 from opsreport.operators.treatment import treat
 from opsreport.plans.columns import SCENARIO_SUFFIX, accumulated_columns, actual_columns
 from opsreport.plans.columns import plan_columns
@@ -63,27 +62,21 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     )
 
 
-def _spine(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    """Shift days of every month between the first and the last event, and their number."""
+def _spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shift days of every month with events, as literal rows."""
     events = tables(spark, sf_dir, "events")["events"]
-    first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    months = (last.year - first.year) * 12 + last.month - first.month + 1
-    firsts = [
-        date(first.year + (first.month - 1 + i) // 12, (first.month - 1 + i) % 12 + 1, 1)
-        for i in range(months)
-    ]
-    spine = period_spine(dates_frame(spark, firsts), standin(spark, sf_dir, "shifts"))
-    return pinned(spine, 31 * months), 31 * months
+    months = events.select(F.to_date(F.trunc("ts", "MM")).alias("report_date")).distinct()
+    return pinned(period_spine(months, standin(spark, sf_dir, "shifts")))
 
 
-def _feed(spark: SparkSession, sf_dir: str, spine: DataFrame, days: int) -> DataFrame:
+def _feed(spark: SparkSession, sf_dir: str, spine: DataFrame) -> DataFrame:
     scales, factors = (standin(spark, sf_dir, n) for n in ("scale_readings", "daily_factor"))
-    return crusher_feed(scales, factors, spine, days)
+    return crusher_feed(scales, factors, spine)
 
 
 def daily_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spine, days = _spine(spark, sf_dir)
-    feed = _feed(spark, sf_dir, spine, days)
+    spine = _spine(spark, sf_dir)
+    feed = _feed(spark, sf_dir, spine)
     out = spine.join(feed, "day", "left")
     lines = ["ipc_feed", "mmd_feed", "jaw_feed", "crusher_feed"]
     return rounded(out.select("day", "hours", *[or_zero(c).alias(c) for c in lines]))
@@ -215,9 +208,9 @@ def mill_readings_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attach_grades_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hour of a reading with its seven repaired and adjusted grades."""
-    spine, days = _spine(spark, sf_dir)
+    spine = _spine(spark, sf_dir)
     hours = standin(spark, sf_dir, "mill_readings").select("ts").distinct()
-    placed = assign_period(hours, spine.select("day", "start", "end", "floor"), "ts", days)
+    placed = assign_period(hours, spine.select("day", "start", "end", "floor"), "ts")
     placed = placed.drop("start", "end")
     out = attach_grades(
         placed, standin(spark, sf_dir, "assays"), standin(spark, sf_dir, "month_factors")
@@ -226,7 +219,7 @@ def attach_grades_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mill_production_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(mill_production(plant(spark, sf_dir), *_spine(spark, sf_dir)))
+    return rounded(mill_production(plant(spark, sf_dir), _spine(spark, sf_dir)))
 
 
 def _line_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,12 +274,12 @@ def _plans(plan_type: int | None) -> Query:
 
 def oee(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Effectiveness of three lines against the rate in force on each day."""
-    spine, days = _spine(spark, sf_dir)
+    spine = _spine(spark, sf_dir)
     dates = spine.select(F.to_date("day").alias("report_date"))
     rates = area_rates(dates, standin(spark, sf_dir, "nominal_rates"))
     kpis = kpi_pivot(standin(spark, sf_dir, "downtime_kpis"))
     joined = (
-        spine.join(_feed(spark, sf_dir, spine, days), "day", "left")
+        spine.join(_feed(spark, sf_dir, spine), "day", "left")
         .join(kpis, "day", "left")
         .withColumn("report_date", F.to_date("day"))
         .join(rates, "report_date", "left")
@@ -310,41 +303,38 @@ def oee(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _accumulation_sides(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Actuals, mill plan and plan grades per ship or order date, each with gaps."""
+    """Actuals, mill plan and plan grades per day.
+
+    The plan lies half a year later than the orders and its grades half a year earlier, so
+    that there are days on one side only.
+    """
     t = tables(spark, sf_dir, "lineitem", "orders")
-    lines = t["lineitem"].where(F.col("l_returnflag") == "A")
     grades = {m: F.col("l_discount") * (i + 1.0) for i, m in enumerate(MEASURES)}
-    actual = lines.groupBy(F.col("l_shipdate").alias("day")).agg(
+    actual = t["lineitem"].groupBy(F.col("l_shipdate").alias("day")).agg(
         F.sum("l_quantity").alias("feed_t"),
         *[positive_weighted_mean(v, F.col("l_quantity")).alias(m) for m, v in grades.items()],
     )
-
-    def kind(name: str) -> Column:
-        return F.col("o_orderpriority") == name
-
+    scenarios = {
+        "budget": F.col("o_orderpriority") < "4",
+        "very_short": F.col("o_orderpriority") >= "4",
+    }
+    half_year = F.expr("INTERVAL '6' MONTH")
     price = F.col("o_totalprice") / 1000.0
-    plan = (
-        t["orders"]
-        .where(F.col("o_orderstatus") == "F")
-        .groupBy(F.col("o_orderdate").alias("day"))
-        .agg(
-            F.sum(F.when(kind("2-HIGH"), price).otherwise(0.0)).alias("feed_budget"),
-            F.sum(F.when(kind("4-NOT SPECIFIED"), price).otherwise(0.0)).alias("feed_very_short"),
-        )
+    plan = t["orders"].groupBy((F.col("o_orderdate") + half_year).alias("day")).agg(
+        *[
+            F.sum(F.when(kind, price).otherwise(0.0)).alias(f"feed_{s}")
+            for s, kind in scenarios.items()
+        ]
     )
     tenth = (F.col("o_custkey") % 100) / 10.0
-    grade_plan = (
-        t["orders"]
-        .where(F.col("o_orderstatus") == "P")
-        .groupBy(F.col("o_orderdate").alias("day"))
-        .agg(
-            F.sum(F.when(kind("4-NOT SPECIFIED"), price).otherwise(0.0)).alias("conc_t_very_short"),
-            *[
-                F.avg(F.when(kind(p), tenth * (i + 1.0))).alias(f"{m}_{s}")
-                for i, m in enumerate(MEASURES)
-                for s, p in (("budget", "2-HIGH"), ("very_short", "4-NOT SPECIFIED"))
-            ],
-        )
+    late = scenarios["very_short"]
+    grade_plan = t["orders"].groupBy((F.col("o_orderdate") - half_year).alias("day")).agg(
+        F.sum(F.when(late, price).otherwise(0.0)).alias("conc_t_very_short"),
+        *[
+            F.avg(F.when(kind, tenth * (i + 1.0))).alias(f"{m}_{s}")
+            for i, m in enumerate(MEASURES)
+            for s, kind in scenarios.items()
+        ],
     )
     return [actual, plan, grade_plan]
 
@@ -378,19 +368,16 @@ def splice_projection_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def treat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily line totals as a raw report; days sold at a loss play idle days."""
+    """Daily line totals as a raw report; days whose quantities add up to sevens are idle."""
     lines = tables(spark, sf_dir, "lineitem")["lineitem"]
-    flag = F.col("l_returnflag") == "A"
     raw = lines.groupBy(F.col("l_shipdate").alias("PeriodIndex")).agg(
-        F.sum(F.when(flag & (F.col("l_linenumber") == 1), F.col("l_quantity"))).alias(
-            "AlimentacaoPlantaReal"
-        ),
+        (F.sum("l_quantity") % 7).alias("AlimentacaoPlantaReal"),
         F.avg("l_quantity").alias("ProdutividadePlantaReal"),
         F.min("l_discount").alias("TeorAlimentacaoCobreReal"),
         F.max("l_discount").alias("TeorAlimentacaoOuroReal"),
         F.min("l_tax").alias("RecuperacaoCobreReal"),
         F.max("l_tax").alias("RecuperacaoOuroReal"),
-        F.max(F.when(flag, F.col("l_tax"))).alias("TeorAlimentacaoPiritaReal"),
+        F.max(F.col("l_tax") - F.col("l_discount")).alias("TeorAlimentacaoPiritaReal"),
         F.count(F.lit(1)).alias("unused"),
     )
     return rounded(treat(raw))
@@ -407,6 +394,7 @@ def _event_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
             for t in ("click", "view", "purchase", "error", "signup")
         ],
         F.when(F.col("event_type") == "click", F.col("props")).alias("note"),
+        (F.col("value") > 60).alias("high"),
         F.col("ts").alias("_source_mtime"),
         F.col("event_type").alias("_source_name"),
         F.col("event_id").alias("_source_row"),
@@ -441,16 +429,26 @@ def union_by_name_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Spellings of an order's date by its key; the fourth is broken, after the last comes none.
+SPELLINGS = (
+    "dd.MM.yyyy",
+    "yyyy-MM-dd",
+    "dd/MM/yyyy",
+    "'32'.MM.yyyy",
+    "dd-MM-yyyy HH:mm:ss",
+    "d.M.yyyy H:mm:ss",
+    "dd/MM/yyyy HH:mm",
+    "yyyy-MM-dd'T'HH:mm:ss",
+    "yyyy/MM/dd",
+    "yyyy-MM-dd HH:mm:ss.SSS",
+)
+
+
 def limit_and_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order dates written in several spellings, some of them broken."""
+    """Order dates written in many spellings, some of them broken."""
     orders = tables(spark, sf_dir, "orders")["orders"]
-    day = F.col("o_orderdate")
-    text = (
-        F.when(F.col("o_orderkey") % 5 == 0, F.date_format(day, "dd.MM.yyyy"))
-        .when(F.col("o_orderkey") % 5 == 1, F.date_format(day, "yyyy-MM-dd"))
-        .when(F.col("o_orderkey") % 5 == 2, F.date_format(day, "dd/MM/yyyy"))
-        .when(F.col("o_orderkey") % 5 == 3, F.date_format(day, "'32'.MM.yyyy"))
-    )
+    spelled = [F.date_format("o_orderdate", f) for f in SPELLINGS]
+    text = F.get(F.array(*spelled), (F.col("o_orderkey") % (len(SPELLINGS) + 1)).cast("int"))
     df = orders.select(text.alias("Data"), "o_totalprice")
     return rounded(
         limit_dates(df, "Data", date(1999, 12, 31))
@@ -461,12 +459,11 @@ def limit_and_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_dates_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every date between the first and the last order, with the orders of that date."""
+    """Every date from the first order to a limit, with the orders of that date."""
     orders = tables(spark, sf_dir, "orders")["orders"]
-    span = orders.agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
-    dates = span.select(F.explode(date_span(F.col("first"), F.col("last"))).alias("d"))
-    days = dates.select(F.col("d").cast("timestamp_ntz").alias("report_date"))
-    days = days.where(F.col("report_date") <= F.lit("2001-06-30").cast("timestamp_ntz"))
+    first, last = orders.agg(F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))).first()
+    dates = DateRange(first, last, limit=date(2001, 6, 30)).dates()
+    days = dates_frame(spark, dates).select(F.col("report_date").cast("timestamp_ntz"))
     counts = orders.groupBy(F.col("o_orderdate").alias("report_date")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -509,30 +506,41 @@ def multi_date_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_stamp(treat(report, extra=("report_date",))))
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A new folder in the shared folder of the cluster, or a local one in tests."""
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared folder that the session names.
+
+    A local session without one uses its warehouse, which is on the same machine.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        return tempfile.mkdtemp(prefix="snapshots-")
-    return f"{shared.rstrip('/')}/snapshots-{datetime.now():%Y%m%d%H%M%S%f}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that executors share")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/{name}-{datetime.now():%Y%m%d%H%M%S%f}"
 
 
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event snapshots written twice per date, corrected once, read back, consolidated.
 
     The second write finds the dates stored and must change nothing; the forced one
-    restates the dates from the 20th on.
+    restates the dates from the 20th on. A folder that is no date lies among them, and the
+    snapshot of the 15th has no date column of its own.
     """
-    root = _scratch(spark)
+    root = _scratch(spark, "snapshots")
     events = tables(spark, sf_dir, "events")["events"]
     day = F.to_date("ts")
-    feed = F.sum(F.when(F.col("event_type") == "click", F.col("value")))
+    kinds = ("click", "view", "purchase", "error", "signup")
     daily = events.groupBy(day.alias("report_date")).agg(
-        F.max(day.cast("timestamp_ntz")).alias("Data"), feed.alias("feed")
+        F.max(day.cast("timestamp_ntz")).alias("Data"),
+        *[F.sum(F.when(F.col("event_type") == k, F.col("value"))).alias(k) for k in kinds],
     )
+    first = F.dayofmonth("report_date")
+    write_snapshot(daily.where(first == 15).drop("Data"), root, at=datetime(2024, 2, 1))
+    daily.limit(1).drop("report_date").write.parquet(f"{root}/report_date=old")
     write_snapshot(daily, root, at=datetime(2024, 2, 1))
-    write_snapshot(daily.withColumn("feed", F.lit(-1.0)), root, at=datetime(2024, 2, 2))
-    late = daily.where(F.dayofmonth("report_date") >= 20).withColumn("feed", F.col("feed") * 2.0)
+    lowered = daily.withColumns({k: F.lit(-1.0) for k in kinds})
+    write_snapshot(lowered, root, at=datetime(2024, 2, 2))
+    late = daily.where(first >= 20).withColumns({k: F.col(k) * 2.0 for k in kinds})
     write_snapshot(late, root, force=True, at=datetime(2024, 2, 3))
     merged = consolidate(read_snapshots(spark, root, date(2024, 1, 28)), date(2024, 1, 28))
     write_consolidated(merged, f"{root}-consolidated")
