@@ -22,7 +22,13 @@ def jdbc_options(
     by the first and the last partition.
     """
     table = TABLES[name]
-    options = {"dbtable": table.source, "fetchsize": "10000", **connection}
+    # Times of the source carry no zone; without this they would shift by that of the session.
+    options = {
+        "dbtable": table.source,
+        "fetchsize": "10000",
+        "preferTimestampNTZ": "true",
+        **connection,
+    }
     if table.source_time and bounds:
         low, high = bounds
         options |= {
@@ -30,7 +36,6 @@ def jdbc_options(
             "lowerBound": low.isoformat(sep=" "),
             "upperBound": high.isoformat(sep=" "),
             "numPartitions": str(partitions),
-            "preferTimestampNTZ": "true",
         }
     return options
 
@@ -51,6 +56,16 @@ def read_source(
     return conform(spark.read.format(fmt).load(f"{location}/{name}"), name)
 
 
-def read_inputs(spark: SparkSession, location: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """All input tables kept below one folder."""
-    return {name: read_source(spark, name, location, fmt) for name in TABLES}
+def read_inputs(
+    spark: SparkSession,
+    location: str | None = None,
+    fmt: str = "parquet",
+    connection: Mapping[str, str] | None = None,
+    bounds: tuple[datetime, datetime] | None = None,
+    partitions: int = 16,
+) -> dict[str, DataFrame]:
+    """All input tables, kept below one folder or reached by one JDBC connection."""
+    return {
+        name: read_source(spark, name, location, fmt, connection, bounds, partitions)
+        for name in TABLES
+    }
