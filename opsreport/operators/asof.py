@@ -157,14 +157,41 @@ def effective_lookup(
     strict: bool = True,
     out: str | None = None,
 ) -> DataFrame:
-    """``latest_effective`` for facts of any number.
+    """``latest_effective`` for facts of any number, at days or at any time.
 
-    Only the distinct (keys, day) pairs take part in the lookup, so a window group holds
-    calendar days however many facts one key has; the result is joined back on equality.
+    The dimension alone is turned into spans of validity, filed under the month they begin in
+    and under every later month with facts that they still hold at the start of. Facts join the
+    few spans of their key and month, so no window holds facts; one window per key goes over
+    the dimension and one over it and the months.
     """
-    asked = facts.where(F.col(day).isNotNull()).select(*keys, day).distinct()
-    found = latest_effective(asked, dim, keys, day, effective, value, strict, out)
-    return facts.join(found, [*keys, day], "left").select(*facts.columns, out or value)
+    at = F.col(day).cast("timestamp_ntz")
+    month = F.trunc(at, "MM").cast("timestamp_ntz")
+    spans = (
+        dim.where(F.col(effective).isNotNull())
+        .groupBy(*keys, F.col(effective).cast("timestamp_ntz").alias("_from"))
+        .agg(F.max(F.struct(value)).alias("_row"))
+    )
+    until = F.lead("_from").over(Window.partitionBy(*keys).orderBy("_from"))
+    spans = spans.withColumn("_until", until)
+    spans = spans.withColumn("_span", F.struct("_from", "_until", "_row"))
+    needed = facts.where(at.isNotNull()).select(*keys, month.alias("_month")).distinct()
+    held = latest_effective(needed, spans, keys, "_month", "_from", "_span")
+    begun = spans.select(
+        *keys, F.trunc("_from", "MM").cast("timestamp_ntz").alias("_month"), "_span"
+    )
+    filed = held.where(F.col("_span").isNotNull()).unionByName(begun)
+    filed = filed.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_month", "_span")
+
+    start, end = F.col("_span._from"), F.col("_span._until")
+    if strict:
+        inside = (start < F.col("_at")) & (end.isNull() | (F.col("_at") <= end))
+    else:
+        inside = (start <= F.col("_at")) & (end.isNull() | (F.col("_at") < end))
+    same = F.col("_own_month") == F.col("_month")
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_key_{k}"))
+    joined = facts.withColumns({"_at": at, "_own_month": month}).join(filed, same & inside, "left")
+    return joined.select(*facts.columns, F.col("_span._row")[value].alias(out or value))
 
 
 def month_factors(needed: DataFrame, factors: DataFrame, day: str, names: list[str]) -> DataFrame:

@@ -92,3 +92,27 @@ def test_a_missing_month_is_null_and_a_null_factor_is_zero(spark):
     )
     got = {r.day: r.f for r in month_factors(days, factors, "day", ["f"]).collect()}
     assert got == {t("2024-01-31"): 2.5, t("2024-02-01"): 0.0, t("2023-01-01"): None}
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_effective_lookup_at_any_time_equals_a_search(spark, strict):
+    rng = random.Random(9)
+    start = datetime(2024, 1, 1)
+    moment = lambda: start + timedelta(hours=rng.randrange(24 * 150))
+    dim = [(k, moment(), float(i)) for i, k in enumerate("aab" * 12)]
+    dim += [("a", datetime(2024, 2, 1), 900.0), ("a", datetime(2024, 2, 1), 901.0)]
+    facts = [(i, rng.choice("abc"), moment()) for i in range(400)]
+    facts += [(400, "a", datetime(2024, 2, 1)), (401, "a", None), (402, None, moment())]
+    facts += [(403 + i, k, at) for i, (k, at, _) in enumerate(dim)]
+    got = effective_lookup(
+        spark.createDataFrame(facts, "i int, k string, at timestamp_ntz"),
+        spark.createDataFrame(dim, "k string, since timestamp_ntz, rate double"),
+        ["k"], "at", "since", "rate", strict=strict,
+    )
+
+    def want(k, at):
+        known = [(s, r) for d, s, r in dim if at and d == k and (s < at or not strict and s == at)]
+        return max(known)[1] if known else None
+
+    assert {r.i: r.rate for r in got.collect()} == {i: want(k, at) for i, k, at in facts}
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
