@@ -17,8 +17,9 @@ Layout
   times, is dealt over several blocks, as many as its exact count asks for.
 - Round 1: every query searches the cell whose box is nearest and gets a bound for its k-th distance.
 - Round 2: it searches the other cells whose box, worked out over all rows, lies within the
-  stopping radius of that bound. A group holds one block and at most about ``ASKED`` of its queries. Inside a block a kd-tree gives leaves in order of projected
-  distance, with the same stopping test leaf by leaf.
+  stopping radius of that bound. A group holds one block and at most about ``ASKED`` of its
+  queries. Inside a block a kd-tree gives leaves in order of projected distance, with the same
+  stopping test leaf by leaf.
 
 Queries are the rows the caller names; candidates all rows. Vectors that are null, empty, zero,
 of another length than most, or that hold null or non-finite components take no part, nor do
@@ -199,14 +200,20 @@ def _projector(dim: int, r2: float, nodes: list[tuple], query: bool):
 
 
 def _router(
-    cells: np.ndarray, low: np.ndarray, high: np.ndarray, r2: float, quantile: float, nearest_only: bool
+    cells: np.ndarray,
+    low: np.ndarray,
+    high: np.ndarray,
+    r2: float,
+    quantile: float,
+    nearest_only: bool,
 ):
     """Sends queries (id, x, p, bound) to the nearest cell, or to all others within reach."""
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for row in batch.select(["id", "x", "p", *([] if nearest_only else ["bound"])]).to_pylist():
+            names = ["id", "x", "p", *([] if nearest_only else ["bound"])]
+            for row in batch.select(names).to_pylist():
                 p, x = np.asarray(row["p"]), np.asarray(row["x"])
                 gap = np.maximum(np.maximum(low - p, p - high), 0.0)
                 d = np.einsum("ij,ij->i", gap, gap)

@@ -109,22 +109,22 @@ def loss_text(text: Column, start: Column, length: Column) -> Column:
 
 def digests(examples: DataFrame) -> DataFrame:
     """One row per conversation, read back from its examples alone."""
+    trained = F.col("example").isNotNull()
+    reply = loss_text(F.col("text"), F.col("loss_start"), F.col("loss_length"))
     per = examples.select(
         "conv_id",
         F.length("text").cast("long").alias("n"),
         "text",
-        "example",
-        F.when(
-            F.col("example").isNotNull(),
-            loss_text(F.col("text"), F.col("loss_start"), F.col("loss_length")),
-        ).alias("reply"),
+        F.when(trained, F.struct("example", reply.alias("reply"))).alias("reply"),
     )
     conv = per.groupBy("conv_id").agg(
         F.max_by("text", "n").alias("whole"),
         F.sum("n").alias("formatted_chars"),
-        F.array_sort(F.collect_list(F.when(F.col("example").isNotNull(), F.struct("example", "reply")))).alias("replies"),
+        F.array_sort(F.collect_list("reply")).alias("replies"),
+    )
+    turns = conv.select(
+        "conv_id", "formatted_chars", "replies", turns_of(F.col("whole")).alias("turns")
     )
-    turns = conv.select("conv_id", "formatted_chars", "replies", turns_of(F.col("whole")).alias("turns"))
     loss = F.concat_ws("", F.transform("replies", lambda r: r["reply"]))
     said = F.concat_ws(
         "",

@@ -16,8 +16,8 @@
    the gradient taken per word the step is one: r_i <- max(0, r_i - sum over k of
    p_ik (S_k - T_k) / m_k). A step is one sum over all documents; rates are written to the
    shared folder every ``WRITE_EVERY`` steps. It ends when all totals are within ``TOLERANCE`` of
-   the budget of their targets, or when a step betters the objective by less than ``LEAST_GAIN`` (targets that
-   no rates can reach, such as none of a domain that every document has a part in).
+   the budget of their targets, or when a step betters the objective by less than ``LEAST_GAIN``
+   (targets that no rates can reach, such as none of a domain that all documents share in).
 
 A document comes out ``copies`` times: the rate rounded up or down by a hash of its id and text,
 so that the expected number is the rate.

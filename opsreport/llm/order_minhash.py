@@ -103,7 +103,8 @@ def labelled(words: list[bytes]) -> np.ndarray:
 
 
 _FACTORS = (
-    np.random.default_rng(20190724).integers(1 << 62, 1 << 63, BANDS, dtype=np.uint64) * np.uint64(2)
+    np.random.default_rng(20190724).integers(1 << 62, 1 << 63, BANDS, dtype=np.uint64)
+    * np.uint64(2)
     + np.uint64(1)
 )
 
@@ -130,7 +131,9 @@ def sketch(value: np.ndarray) -> list[int]:
     return np.concatenate(out).view(np.int64).tolist()
 
 
-def aligned(a: np.ndarray, order: np.ndarray, ranked: np.ndarray, b: np.ndarray, least: float) -> float:
+def aligned(
+    a: np.ndarray, order: np.ndarray, ranked: np.ndarray, b: np.ndarray, least: float
+) -> float:
     """Similarity of b to a, or 0 where it is below ``least``.
 
     ``order`` and ``ranked`` are the places and values of a in order of value.
@@ -251,7 +254,13 @@ def near_duplicate_classes(
     member = written(
         sketches.select("doc_id", "n", "h1", "h2")
         .join(copies.select("h1", "h2", "rep"), ["h1", "h2"], "left")
-        .select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")).alias("rep")),
+        .select(
+            "doc_id",
+            "n",
+            F.when(F.col("n") > 0, F.coalesce("rep", "doc_id"))
+            .otherwise(F.col("doc_id"))
+            .alias("rep"),
+        ),
         "members",
     )
     later = member.where("rep <> doc_id").select("doc_id").distinct()
