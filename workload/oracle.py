@@ -785,6 +785,16 @@ SNAPSHOTS = "SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS \"Data\", " + rnd({
 FROM events WHERE ts < TIMESTAMP '2024-01-29' GROUP BY CAST(ts AS DATE)"""
 
 
+def report_run_sql() -> str:
+    """Of every day the value of the latest report that has one other than zero."""
+    picks = ", ".join(
+        f'coalesce(max_by("{c}", report_date) FILTER ("{c}" <> 0), 0) AS "{c}"'
+        for old, c in RENAME_MAP.items() if old != KEY
+    )
+    return f"""WITH m AS ({multi_date_sql()})
+SELECT "Data", {picks} FROM m WHERE "Data" < TIMESTAMP '2024-01-24' GROUP BY "Data\""""
+
+
 def plans_sql(budget: int | None) -> str:
     cols = {c: c for c in (*area_plan_columns(budget), *production_plan_columns(budget))}
     return with_(plans(budget), f"SELECT day, {rnd(cols)} FROM areas FULL JOIN prods USING (day)")
@@ -838,4 +848,5 @@ ORACLE: dict[str, str] = {
     "report_accumulated": report_accumulated_sql(),
     "multi_date_report": multi_date_sql(),
     "snapshot_roundtrip": SNAPSHOTS,
+    "report_run": report_run_sql(),
 }

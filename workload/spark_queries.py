@@ -34,6 +34,7 @@ from opsreport.operators.timeaxis import DateRange, dates_frame, period_spine
 from opsreport.operators.treatment import treat
 from opsreport.plans.columns import SCENARIO_SUFFIX, accumulated_columns, actual_columns
 from opsreport.plans.columns import plan_columns
+from opsreport.plans.jobs import Store, run
 from opsreport.plans.report import area_rates, day_facts, pinned, plant_report
 from opsreport.sources.codes import MOISTURE
 from opsreport.sources.snapshots import read_snapshots, write_consolidated, write_snapshot
@@ -547,6 +548,17 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.read.parquet(f"{root}-consolidated"))
 
 
+def report_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run over ten report dates, done twice, and its consolidated table.
+
+    The second run finds every date stored, and the table of the first.
+    """
+    root, inputs = _scratch(spark, "run"), plant(spark, sf_dir)
+    for _ in range(2):
+        run(spark, inputs, root, start="14.01.2024", end="2024-01-23", today=date(2024, 2, 1))
+    return rounded(spark.read.parquet(Store(root).consolidated))
+
+
 QUERIES: dict[str, Query] = {
     "daily_feed": daily_feed,
     "shift_spine": shift_spine,
@@ -581,4 +593,5 @@ QUERIES: dict[str, Query] = {
     "report_accumulated": report_accumulated,
     "multi_date_report": multi_date_report,
     "snapshot_roundtrip": snapshot_roundtrip,
+    "report_run": report_run,
 }
