@@ -316,7 +316,7 @@ def keep_one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     gone = classes.where("not kept").select("doc_id")
     ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"))
     repeated = written(ids.where("k > 1 and doc_id is not null").select("doc_id"), "repeated")
-    kept = docs.join(gone, "doc_id", "left_anti")
+    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti")
     if not repeated.isEmpty():
         once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
         kept = kept.join(repeated, "doc_id", "left_anti").unionByName(once)
