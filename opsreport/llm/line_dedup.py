@@ -11,7 +11,8 @@ a repeated row is one more page. A text that loses all lines stays as an empty t
 Plan: pages are counted per host and lines per (host, line) with partial sums; lines travel as
 two 64-bit hashes. The boilerplate of a host, of which there are at most lines per page / ratio,
 joins its pages once; the pages of a host are spread over ``salts`` keys, so a host with a third
-of all pages does not meet in one task.
+of all pages does not meet in one task. Raise ``salts`` with the cluster, and keep adaptive
+execution on: it sends small rules to every task, and splits what is still uneven otherwise.
 """
 
 from __future__ import annotations
