@@ -1,4 +1,9 @@
-"""Second-level grades: actual, budget, and the splice of actual and plan."""
+"""Second-level grades: actual, budget, and the splice of actual and plan.
+
+The report needs them per day only and takes them from its joined day rows
+(``opsreport.plans.columns.accumulated_columns``); ``accumulated_grades`` is the general form
+over three tables. A test holds the two against each other.
+"""
 
 from __future__ import annotations
 
