@@ -41,7 +41,9 @@ from opsreport.llm.common import record, struct_column, text_or_empty
 
 MARK = "▁"
 N_BEST = 4
-MEMO = 400_000
+#: Parts, and pieces of parts between safe places, that a worker remembers, at most twice.
+MEMO = 300_000
+CUTS = 700_000
 UNKNOWN_PENALTY = 10.0
 
 ENCODED, ENCODED_ARROW = record(
@@ -87,6 +89,7 @@ class Pieces:
         self.openings |= {p: (self.score[i], (i,)) for p, i in self.id.items()}
         self.pairs = {p[k : k + 2] for p in self.id for k in range(len(p) - 1)}
         self.cuts: dict[str, tuple[float, float, bytes]] = {}
+        self.old_cuts: dict[str, tuple[float, float, bytes]] = {}
         self.memo: dict[str, tuple[float, float, bytes]] = {}
         self.old: dict[str, tuple[float, float, bytes]] = {}
         # What an id stands for in a text; bytes above 127 as escapes that go back to bytes.
@@ -174,8 +177,8 @@ class Pieces:
         for part in parts & self.old.keys():
             self.memo[part] = self.old[part]
             parts.discard(part)
-        if len(self.cuts) > MEMO:
-            self.cuts.clear()
+        if len(self.cuts) > CUTS:
+            self.old_cuts, self.cuts = self.cuts, {}
         for part in parts:
             best, loss, ids, at = 0.0, float("inf"), b"", 0
             for k in range(1, len(part) + 1):
@@ -184,8 +187,10 @@ class Pieces:
                     cut = part[at:k]
                     known = self.cuts.get(cut)
                     if known is None:
-                        score, second, one = self.best_two(cut)
-                        known = (score, second, np.array(one, "<u4").tobytes())
+                        known = self.old_cuts.get(cut)
+                        if known is None:
+                            score, second, one = self.best_two(cut)
+                            known = (score, second, np.array(one, "<u4").tobytes())
                         self.cuts[cut] = known
                     best, loss, ids, at = best + known[0], min(loss, known[1]), ids + known[2], k
             self.memo[part] = (best, loss, ids)
