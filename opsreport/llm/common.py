@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: The temporary folder of a local session that names none.
+_LOCAL: list[str] = []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,12 +27,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local[") and (
-            spark.sparkContext.master != "local"
-        ):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that executors share")
-        root = f"file://{tempfile.mkdtemp(prefix='llm-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _LOCAL:
+            _LOCAL.append(f"file://{tempfile.mkdtemp(prefix='llm-')}")
+        root = _LOCAL[0]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

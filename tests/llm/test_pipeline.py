@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 
 from opsreport.llm import order_minhash as O
@@ -41,13 +42,23 @@ def test_every_operator_is_registered():
     assert set(ORACLE) <= set(QUERIES)
 
 
-def test_shared_folder_follows_the_session(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", "file:///tmp/some-folder/")
-    try:
-        assert shared_folder(spark, "x").startswith("file:///tmp/some-folder/x-")
-    finally:
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
-        else:
-            spark.conf.unset("spark.checkpoint.dir")
+class Session:
+    """As much of a session as the folder asks for."""
+
+    def __init__(self, master, folder):
+        self.sparkContext = self.conf = self
+        self.master, self.folder = master, folder
+
+    def get(self, key, default):
+        assert key == "spark.checkpoint.dir"
+        return self.folder or default
+
+
+def test_shared_folder_follows_the_session():
+    named = shared_folder(Session("spark://h:1", "hdfs:///shared/"), "x")
+    assert named.startswith("hdfs:///shared/x-")
+    own = [shared_folder(Session("local[2]", None), "x") for _ in range(2)]
+    assert own[0] != own[1] and all(f.startswith("file:///") for f in own)
+    for master in ("spark://h:1", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError):
+            shared_folder(Session(master, None), "x")
