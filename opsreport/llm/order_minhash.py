@@ -24,8 +24,13 @@ How it scales
 - Only hashes are shuffled for the candidates. A bucket never pairs its members with each
   other: they are all compared with one hub, the member with the most company in its other
   buckets. What the hub does not link is dealt with in the next round, with a hub of its own;
-  rounds go on until a round links nothing or no bucket has two members left. So the work is
-  linear in the members, and there is no cap on a bucket.
+  rounds go on while at least a tenth of their comparisons link, and are linear in the members.
+- What rounds leave open is settled exactly. Documents of buckets of three or more whose members
+  are not all of one class are joined on their rarest labelled shingles: two documents that
+  share enough of them for the bound share one among the rarest n - needed + 1 of each (prefix
+  filter), whatever the order. Pairs of different classes are verified. Shingles of one class
+  alone drop out before the join, frequent ones are spread over salts. Nothing is capped: a
+  group whose members all reach just below the bound costs its pairs.
 - Hubs meet their members in chunks of ``CHUNK``, streamed: a task holds one hub and one member.
 - Texts meet ids in sort-merge joins at every size: ids of candidates grow with the corpus, so
   a plan that sends them to every task would only do for a small one.
@@ -38,6 +43,7 @@ its texts'. Other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -55,6 +61,8 @@ SIMILARITY = 0.8
 BANDS = 20
 DRAWN = 3
 CHUNK = 64
+CELLS = 1 << 20
+LEAST_PAYING = 0.1
 
 _KEPT = b"".join(
     bytes([c]) if chr(c).isalnum() and c < 128 or c >= 128 else b" " for c in range(256)
@@ -64,6 +72,8 @@ _SHIFT = np.uint64(32)
 
 SKETCH, SKETCH_ARROW = record("doc_id long, n long, h1 long, h2 long, sketch longs")
 LINKS, LINKS_ARROW = record("hub long, doc long, similarity double")
+COUNTS, COUNTS_ARROW = record("cell long, k long")
+RAREST, RAREST_ARROW = record("h long, doc long, label long, n long, place long")
 
 
 def words_of(text: str) -> list[bytes]:
@@ -229,6 +239,76 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return together.mapInArrow(_verifier(least), LINKS)
 
 
+def _cells(value: np.ndarray) -> np.ndarray:
+    return (value & np.uint64(CELLS - 1)).astype(np.int64)
+
+
+def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    k = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            np.add.at(k, _cells(labelled(words_of(text))), 1)
+    cells = np.flatnonzero(k)
+    yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(k[cells])], schema=COUNTS_ARROW)
+
+
+def _rarest(often, least: float):
+    """The labelled shingles among which any partner of the bound shares one, rarest first."""
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "label", "text"))
+            for doc, label, text in zip(*columns, strict=True):
+                value = labelled(words_of(text))
+                n = len(value)
+                seen = often.value[_cells(value)]
+                order = np.lexsort((value, seen))[: n - math.ceil(least * n - 1e-9) + 1]
+                place = np.flatnonzero(seen[order] > 1)  # one in its cell has no partner
+                h = value[order[place]].view(np.int64)
+                same = [np.full(len(h), x, np.int64) for x in (doc, label, n)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (h, *same, place)], schema=RAREST_ARROW
+                )
+
+    return rarest
+
+
+def open_pairs(docs: DataFrame, least: float) -> DataFrame:
+    """Pairs (hub, doc) of ``docs`` (doc_id, label, text) with different labels that share one
+    of their rarest labelled shingles: all pairs of the bound are among them."""
+    counts = docs.mapInArrow(_cell_counts, COUNTS).groupBy("cell").agg(F.sum("k").alias("k"))
+    counts = counts.toArrow()
+    often = np.zeros(CELLS, np.uint32)
+    often[counts["cell"].to_numpy()] = np.minimum(counts["k"].to_numpy(), 0xFFFFFFFF)
+    often = docs.sparkSession.sparkContext.broadcast(often)
+    entries = written(docs.mapInArrow(_rarest(often, least), RAREST), "rarest")
+    shared = entries.groupBy("h").agg(
+        F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("salts"),
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+    )
+    shared = shared.where("low <> high").select("h", "salts")
+    entries = written(entries.join(shared, "h"), "rarest")
+    a = entries.select(
+        "h",
+        F.pmod(F.xxhash64("doc"), "salts").cast("int").alias("salt"),
+        *[F.col(c).alias(f"{c}_a") for c in ("doc", "label", "n", "place")],
+    )
+    b = entries.select(
+        "h",
+        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+        *[F.col(c).alias(f"{c}_b") for c in ("doc", "label", "n", "place")],
+    )
+    needed = F.ceil((F.col("n_a") + F.col("n_b")) * (least / (1 + least)) - 1e-6)
+    pairs = a.join(b, ["h", "salt"]).where(
+        (F.col("doc_a") < F.col("doc_b"))
+        & (F.col("label_a") != F.col("label_b"))
+        & (F.col("n_a") - F.col("place_a") >= needed)
+        & (F.col("n_b") - F.col("place_b") >= needed)
+    )
+    return pairs.select(F.col("doc_a").alias("hub"), F.col("doc_b").alias("doc")).distinct()
+
+
 def _with_label(df: DataFrame, column: str, labels: DataFrame | None, name: str) -> DataFrame:
     if labels is None:
         return df.withColumn(name, F.col(column))
@@ -279,7 +359,7 @@ def near_duplicate_classes(
     )
     candidates = active.select("doc_id").distinct()
     texts = written(own.join(candidates.hint("merge"), "doc_id", "left_semi"), "texts")
-    labels, links = None, None
+    labels, links, buckets = None, None, active
     while not active.isEmpty():
         first = F.max(F.struct("company", (-F.col("doc_id")).alias("doc")))
         hubs = active.groupBy("band", "value").agg(first.alias("h"), F.count(F.lit(1)).alias("k"))
@@ -290,16 +370,34 @@ def near_duplicate_classes(
         sized = _with_label(_with_label(sized, "doc_id", labels, "own"), "hub", labels, "its")
         sized = written(sized, "sized")
         pairs = sized.where("own <> its").select("hub", F.col("doc_id").alias("doc")).distinct()
+        pairs = written(pairs, "compared")
         found = written(verified(pairs, texts, least), "links")
-        if found.isEmpty():
+        n_found = found.count()
+        if not n_found:
             break
         links = found if links is None else links.unionByName(found)
         labels = components(links.select(F.col("hub").alias("a"), F.col("doc").alias("b")))
+        if n_found < LEAST_PAYING * pairs.count():
+            break
         rest = sized.drop("own", "its")
         rest = _with_label(_with_label(rest, "doc_id", labels, "own"), "hub", labels, "its")
         active = written(
             rest.where("own <> its").select("band", "value", "doc_id", "n", "company"), "active"
         )
+    # Every bucket's first hub has met all its members, so a bucket of two is settled.
+    owned = _with_label(buckets.select("band", "value", "doc_id"), "doc_id", labels, "label")
+    mixed = owned.groupBy("band", "value").agg(
+        F.count(F.lit(1)).alias("k"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    mixed = mixed.where("k > 2 and low <> high").select("band", "value")
+    left = owned.join(mixed, ["band", "value"], "left_semi").select("doc_id", "label").distinct()
+    left = written(texts.join(left.hint("merge"), "doc_id"), "open")
+    if not left.isEmpty():
+        pairs = written(open_pairs(left, least), "compared")
+        found = written(verified(pairs, texts, least), "links")
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            labels = components(links.select(F.col("hub").alias("a"), F.col("doc").alias("b")))
     classes = _with_label(member, "rep", labels, "class_id")
     per = classes.groupBy("doc_id").agg(
         F.min("class_id").alias("class_id"), F.max("n").alias("n_shingles")

@@ -148,3 +148,34 @@ def test_components(spark):
     rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.label for r in rows} == {i: root(i) for i in parent if i not in alone}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_versions_of_linked_members_are_compared_with_them(spark):
+    """H, versions A_i linked to it, and one version B_i of each A_i too far from H."""
+    base = prose(11, 400)
+    texts = {0: base}
+    for i in range(1, 81):
+        texts[i] = edited(base, i, 7)
+        texts[1000 + i] = edited(texts[i], 1000 + i, 9)
+    value = {i: O.labelled(O.words_of(x)) for i, x in texts.items()}
+
+    def alike(a, b):
+        order = np.argsort(value[a])
+        return O.aligned(value[a], order, value[a][order], value[b], 0.8)
+
+    parent = {i: i for i in texts}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in combinations(sorted(texts), 2):
+        if alike(a, b):
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    hidden = [i for i in range(1, 81) if alike(i, 1000 + i) and not alike(0, 1000 + i)]
+    assert len(hidden) > 20
+    df = spark.createDataFrame(list(texts.items()), SCHEMA)
+    got = {r.doc_id: r.class_id for r in O.near_duplicate_classes(df).collect()}
+    assert got == {i: root(i) for i in texts}
