@@ -29,8 +29,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the boilerplate lines of their source."""
-    return drop_boilerplate(docs)
+    """Texts without the boilerplate lines of their source; copies are one page, as near dedup
+    has yet to drop them."""
+    return drop_boilerplate(docs, by_text=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ copies on a small site do not empty each other.
 
 Lines without text are kept, as are all lines of rows without a host; a null text stays null;
 a repeated row is one more page. A text that loses all lines stays as an empty text.
+With ``by_text`` pages of a host with the same lines are one page, so that a group of copies
+does not make all its lines boilerplate; near copies remain pages of their own.
 
 Plan: pages are counted per host and lines per (host, line) with partial sums; lines travel as
 two 64-bit hashes. The boilerplate of a host, of which there are at most lines per page / ratio,
@@ -38,15 +40,23 @@ def line_keys(text: Column) -> Column:
 
 
 def boilerplate(
-    pages: DataFrame, host_col: str, text_col: str, ratio: float, least_pages: int
+    pages: DataFrame,
+    host_col: str,
+    text_col: str,
+    ratio: float,
+    least_pages: int,
+    by_text: bool = False,
 ) -> DataFrame:
     """host and the array of its boilerplate lines."""
     own = pages.select(F.col(host_col).alias("host"), F.col(text_col).alias("text"))
-    own = own.where(F.col("host").isNotNull())
-    totals = own.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    lines = own.select(
-        "host", F.explode(F.array_distinct(F.array_compact(line_keys(F.col("text"))))).alias("k")
+    own = own.where(F.col("host").isNotNull()).select(
+        "host", F.array_distinct(F.array_compact(line_keys(F.col("text")))).alias("keys")
     )
+    if by_text:
+        one = [F.xxhash64("keys").alias("x"), F.xxhash64("keys", F.lit(1)).alias("y")]
+        own = own.select("host", "keys", *one).dropDuplicates(["host", "x", "y"])
+    totals = own.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    lines = own.select("host", F.explode("keys").alias("k"))
     counts = (
         lines.groupBy("host", F.col("k.a").alias("a"), F.col("k.b").alias("b"))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -64,6 +74,7 @@ def drop_boilerplate(
     least_pages: int = LEAST_PAGES,
     salts: int = SALTS,
     counts: bool = False,
+    by_text: bool = False,
 ) -> DataFrame:
     """``pages`` with the boilerplate lines gone from the text.
 
@@ -71,7 +82,7 @@ def drop_boilerplate(
     those of them that went.
     """
     names = pages.columns
-    rules = boilerplate(pages, host_col, text_col, ratio, least_pages)
+    rules = boilerplate(pages, host_col, text_col, ratio, least_pages, by_text)
     rules = rules.select(
         F.col("host").alias("_host"),
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),

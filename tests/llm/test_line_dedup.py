@@ -53,3 +53,14 @@ def test_edges(edges, nothing, clashing):
     out = drop_boilerplate(clashing)
     assert out.columns == clashing.columns
     assert sorted(map(str, out.collect())) == sorted(map(str, clashing.collect()))
+
+
+def test_a_group_of_copies_is_one_page_of_the_pipeline(spark):
+    import corpus_pipeline
+
+    rows = [(i, "a", "copied one\ncopied two") for i in range(30)]
+    rows += [(100 + i, "a", f"menu\nown {i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, df, "").collect()}
+    assert {got[i] for i in range(30)} == {"copied one\ncopied two"}
+    assert all(got[100 + i] == f"own {i}" for i in range(30))
