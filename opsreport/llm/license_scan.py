@@ -2,8 +2,9 @@
 
 The automaton holds every run of words of all templates. A text is streamed through it, which
 gives its matching statistics: for each word the longest run of words ending there that some
-template holds. Runs of ``LEAST_MATCH`` words or more that cannot be continued are chained for
-each template: in the order of both the text and the template, with at most ``GAP`` words of
+template holds. Where it finds runs of ``LEAST_MATCH`` words or more, each template's own automaton gives
+the runs that this template does not continue, whichever others do. They are chained for each
+template: in the order of both the text and the template, with at most ``GAP`` words of
 the text between two of them. A chain is a span of the text; the share of the template's words
 that it covers is its score, and at ``LEAST_COVER`` or more it gives the template's label.
 
@@ -181,6 +182,7 @@ class Scanner:
         self.labels = [label for label, _ in templates]
         self.sizes = [len(s) for s in sequences]
         self.automaton = Automaton(sequences)
+        self.own = [Automaton([s]) for s in sequences]
 
     def scan(self, data: bytes) -> tuple:
         words = words_of(data)
@@ -217,16 +219,19 @@ class Scanner:
         known = np.concatenate(([0], (ids >= 0).astype(np.int8), [0]))
         starts = np.flatnonzero(np.diff(known) == 1)
         stops = np.flatnonzero(np.diff(known) == -1)
-        found: list[tuple[int, int, int]] = []
+        longest = 0
+        hits: dict[int, list[tuple[int, int, int]]] = {}
         for a, b in zip(starts.tolist(), stops.tolist(), strict=True):
             if b - a >= LEAST_MATCH:
-                run = self.automaton.matches(ids[a:b].tolist(), LEAST_MATCH)
-                found += [(a + end - size + 1, size, state) for end, size, state in run]
-        longest = max((m[1] for m in found), default=0)
-        hits: dict[int, list[tuple[int, int, int]]] = {}
-        for begin, size, state in found:
-            for t, end in self.automaton.ends[state]:
-                hits.setdefault(t, []).append((begin, end - size + 1, size))
+                part = ids[a:b].tolist()
+                size = max((m[1] for m in self.automaton.matches(part, LEAST_MATCH)), default=0)
+                longest = max(longest, size)
+                for t, automaton in enumerate(self.own if size else ()):
+                    for last, size, state in automaton.matches(part, LEAST_MATCH):
+                        hits.setdefault(t, []).extend(
+                            (a + last - size + 1, end - size + 1, size)
+                            for _, end in automaton.ends[state]
+                        )
         out = []
         for t, own in sorted(hits.items()):
             out += [

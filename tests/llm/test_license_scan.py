@@ -89,3 +89,9 @@ def test_edges(edges, nothing, clashing):
     assert L.scan_licenses(nothing).count() == 0
     key = lambda df: sorted(map(str, L.scan_licenses(df).collect()))
     assert key(clashing) == key(edges)
+
+
+def test_a_template_inside_the_run_of_another_is_found():
+    text = b"Licensed under the Apache License, Version 2.0 (the License); you may not use this file"
+    row = L.scanner().scan(text)
+    assert "apache-2.0" in row[5].split(",") and row[6] == 1.0
