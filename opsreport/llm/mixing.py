@@ -3,7 +3,7 @@
 1. A classifier learnt from a labelled table gives each document posteriors over the domains.
    It is Bernoulli naive Bayes over at most ``MAX_FEATURES`` features, those whose log odds
    between a domain and the rest lie furthest from zero in standard errors, and at least
-   ``LEAST_ODDS`` from it: weak features, such as the common words of one language, hang
+   ``LEAST_ODDS`` from it. Domains take turns in choosing, so each has its share of them: weak features, such as the common words of one language, hang
    together, and naive Bayes would count them over and over. Features are the
    distinct lower-case words of a text, and shape features for the share of symbols, capitals
    and different words. It learns from at most ``MAX_LABELLED`` labelled documents, those with
@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +42,7 @@ from opsreport.llm.common import text_or_empty, written
 
 MAX_LABELLED = 20_000
 MAX_FEATURES = 256
-LEAST_Z = 4.0
+LEAST_Z = 3.0
 LEAST_ODDS = 2.5
 SMOOTHING = 0.5
 TOLERANCE = 5e-3
@@ -129,14 +130,24 @@ def fit(
         odds = F.log((c + a) / (n[k] - c + a)) - F.log((rest + a) / (total - n[k] - rest + a))
         far = F.abs(odds) / F.sqrt(1 / (c + a) + 1 / (rest + a))
         z.append(F.when(F.abs(odds) >= least_odds, far).otherwise(0.0))
-    strongest = F.greatest(*z, F.lit(0.0))
-    kept = (
-        seen.withColumn("z", strongest)
-        .where(F.col("z") >= LEAST_Z)
-        .orderBy(F.desc("z"), "w")
+    strong = seen.select("*", *[x.alias(f"z{k}") for k, x in enumerate(z)])
+    strong = written(
+        strong.where(F.greatest(*[F.col(f"z{k}") for k in range(len(z))], F.lit(0.0)) >= LEAST_Z),
+        "features",
+    )
+    ranked = [
+        strong.where(F.col(f"z{k}") >= LEAST_Z)
+        .orderBy(F.desc(f"z{k}"), "w")
         .limit(max_features)
         .collect()
-    )
+        for k in range(len(names))
+    ]
+    chosen: dict = {}
+    for turn in zip_longest(*ranked):
+        for r in turn:
+            if r is not None and len(chosen) < max_features:
+                chosen.setdefault(r["w"], r)
+    kept = list(chosen.values())
     bias, weights = [], []
     for k in range(len(names)):
         p = [(r[f"c{k}"] + SMOOTHING) / (n[k] + 2 * SMOOTHING) for r in kept]

@@ -106,3 +106,14 @@ def test_edges(spark, edges, nothing, clashing, corpus):
     assert {r.rate for r in M.mixture(edges, none, WEIGHTS).collect()} == {1.0}
     blank = edges.where("doc_id in (3, 4)")
     assert {r.rate for r in M.mixture(blank, labels, WEIGHTS).collect()} == {0.0}
+
+
+def test_each_domain_has_its_share_of_the_features(spark):
+    rows = []
+    for i in range(300):
+        loud = " ".join(f"loud{k}" for k in range(20))
+        own = loud if i % 3 == 0 else "quiet" if i % 15 == 1 else ""
+        rows.append((i, f"{prose(i, 20)} {own}", ("a", "b", "c")[i % 3]))
+    df = spark.createDataFrame(rows, f"{SCHEMA}, domain string")
+    model = M.fit(df, df.select("doc_id", "domain"), max_features=12)
+    assert "quiet" in model.features and len(model.features) <= 12
