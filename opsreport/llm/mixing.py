@@ -3,7 +3,7 @@
 1. A classifier learnt from a labelled table gives each document posteriors over the domains.
    It is Bernoulli naive Bayes over at most ``MAX_FEATURES`` features, those whose log odds
    between a domain and the rest lie furthest from zero in standard errors, and at least
-   ``LEAST_ODDS`` from it. Domains take turns in choosing, so each has its share of them: weak features, such as the common words of one language, hang
+   ``LEAST_ODDS`` from it. Domains take turns in choosing, what speaks for them first, so each has its share: weak features, such as the common words of one language, hang
    together, and naive Bayes would count them over and over. Features are the
    distinct lower-case words of a text, and shape features for the share of symbols, capitals
    and different words. It learns from at most ``MAX_LABELLED`` labelled documents, those with
@@ -122,7 +122,7 @@ def fit(
         for k, d in enumerate(names)
     ]
     seen = told.select("_domain", F.explode("_features").alias("w")).groupBy("w").agg(*count)
-    z = []
+    z, above = [], []
     for k in range(len(names)):
         c = F.col(f"c{k}")
         rest = sum((F.col(f"c{j}") for j in range(len(names)) if j != k), F.lit(0.0))
@@ -130,14 +130,19 @@ def fit(
         odds = F.log((c + a) / (n[k] - c + a)) - F.log((rest + a) / (total - n[k] - rest + a))
         far = F.abs(odds) / F.sqrt(1 / (c + a) + 1 / (rest + a))
         z.append(F.when(F.abs(odds) >= least_odds, far).otherwise(0.0))
-    strong = seen.select("*", *[x.alias(f"z{k}") for k, x in enumerate(z)])
+        above.append(odds > 0)
+    strong = seen.select(
+        "*",
+        *[x.alias(f"z{k}") for k, x in enumerate(z)],
+        *[x.alias(f"above{k}") for k, x in enumerate(above)],
+    )
     strong = written(
         strong.where(F.greatest(*[F.col(f"z{k}") for k in range(len(z))], F.lit(0.0)) >= LEAST_Z),
         "features",
     )
     ranked = [
         strong.where(F.col(f"z{k}") >= LEAST_Z)
-        .orderBy(F.desc(f"z{k}"), "w")
+        .orderBy(F.desc(f"above{k}"), F.desc(f"z{k}"), "w")
         .limit(max_features)
         .collect()
         for k in range(len(names))
