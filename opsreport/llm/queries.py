@@ -18,6 +18,7 @@ from opsreport.llm.quality import compression_bands
 from opsreport.llm.segmentation import segmentations
 from opsreport.llm.token_counts import token_counts
 from opsreport.llm.token_files import token_file_digest
+from opsreport.llm.winnowing import edited_fingerprints
 
 #: Shares of words that the mixture is to have.
 WEIGHTS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
@@ -79,6 +80,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_projected_neighbours": op2_projected_neighbours,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op8_prefix_examples": op8_prefix_examples,
     "op9_n_best_segmentation": op9_n_best_segmentation,
     "op10_token_counts": op10_token_counts,
+    "op11_winnowing": op11_winnowing,
 }
 
 LINE_DEDUP_SQL = r"""
@@ -143,7 +149,85 @@ SELECT conv_id, count(*) AS n_turns,
 FROM running GROUP BY conv_id
 """
 
+#: CRC-32 of UTF-8 bytes given in hexadecimal, by the table of its polynomial (reflected).
+CRC_SQL = r"""
+crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda a, b: CASE WHEN a % 2 = 1
+             THEN xor(a // 2, 3988292384) ELSE a // 2 END, i) AS c
+    FROM range(256) r(i))
+)"""
+
+
+def _crc(hexadecimal: str) -> str:
+    return f"""xor(list_reduce(list_transform(range(length({hexadecimal}) // 2),
+             lambda p: CAST('0x' || substr({hexadecimal}, 2 * p + 1, 2) AS BIGINT)),
+             lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1]), 4294967295), 4294967295)"""
+
+
+WINNOWING_SQL = rf"""
+WITH {CRC_SQL.strip()}, d AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+         coalesce(lead(text) OVER (ORDER BY doc_id DESC),
+                  first_value(text) OVER (ORDER BY doc_id DESC), '') AS after
+  FROM documents
+), texts AS (
+  SELECT doc_id, 0 AS kind, text FROM d
+  UNION ALL SELECT doc_id, 1, substr(text, 1, n - n // 2) || substr(after, 1, n // 2) FROM d
+  UNION ALL SELECT doc_id, 2, after FROM d
+), cut AS (
+  SELECT doc_id, kind, list_filter(regexp_split_to_array(
+           regexp_replace(text, '([\p{{Han}}\p{{Hiragana}}\p{{Katakana}}\p{{Thai}}])', '  ', 'g'),
+           '[ 	-]+'), lambda x: x <> '') AS words FROM texts
+), codes AS (
+  SELECT word, {_crc("hex(word)")} AS code
+  FROM (SELECT DISTINCT unnest(words) AS word FROM cut), crc_table
+), coded AS (
+  SELECT doc_id, kind, list(code ORDER BY place) AS c
+  FROM (SELECT doc_id, kind, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM cut)
+  JOIN codes USING (word) GROUP BY doc_id, kind
+), padded AS (
+  SELECT doc_id, kind, list_concat(c, list_transform(range(greatest(0, 5 - len(c))),
+                                                     lambda x: CAST(0 AS BIGINT))) AS c FROM coded
+), hashed AS (
+  SELECT doc_id, kind, list_transform(range(1, len(c) - 3), lambda i:
+           (((((c[i] * 1103515245 + c[i + 1]) % 2147483647 * 1103515245 + c[i + 2]) % 2147483647
+              * 1103515245 + c[i + 3]) % 2147483647 * 1103515245 + c[i + 4]) % 2147483647)) AS h
+  FROM padded
+), packed AS (
+  SELECT doc_id, kind, list_transform(h, lambda x, i: x * 4294967296 - (i - 1)) AS v FROM hashed
+), kept AS (
+  SELECT doc_id, kind, list_sort(list_distinct(list_transform(
+           range(1, greatest(len(v) - 15, 1) + 1), lambda i: list_min(v[i : i + 15])))) AS m
+  FROM packed
+), pairs AS (
+  SELECT doc_id, kind, list_transform(m, lambda x: {{
+           'h': (x + 4294967295) // 4294967296,
+           'p': (x + 4294967295) // 4294967296 * 4294967296 - x}}) AS m FROM kept
+), prints AS (
+  SELECT doc_id, kind, list_distinct(list_transform(m, lambda x: x.h)) AS hs,
+         array_to_string(list_transform(list_sort(list_transform(m, lambda x: {{'p': x.p, 'h': x.h}})),
+                                        lambda x: x.h || ':' || x.p), ' ') AS text
+  FROM pairs
+), wide AS (
+  SELECT d.doc_id, d.n, sha256(e.text) AS edited_sha256,
+         coalesce(a.text, '') AS fingerprint, coalesce(b.text, '') AS edited_fingerprint,
+         coalesce(a.hs, []) AS x, coalesce(b.hs, []) AS y, coalesce(c.hs, []) AS z
+  FROM d JOIN texts e ON e.doc_id = d.doc_id AND e.kind = 1
+  LEFT JOIN prints a ON a.doc_id = d.doc_id AND a.kind = 0
+  LEFT JOIN prints b ON b.doc_id = d.doc_id AND b.kind = 1
+  LEFT JOIN prints c ON c.doc_id = d.doc_id AND c.kind = 2
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_chars, edited_sha256, fingerprint, edited_fingerprint,
+       CASE WHEN len(x) = 0 AND len(y) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(x, y))
+         / CAST(len(x) + len(y) - len(list_intersect(x, y)) AS DOUBLE) END AS near_edited,
+       CASE WHEN len(x) = 0 AND len(z) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(x, z))
+         / CAST(len(x) + len(z) - len(list_intersect(x, z)) AS DOUBLE) END AS near_next
+FROM wide
+"""
+
 ORACLE: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP_SQL,
     "op8_prefix_examples": CHAT_SQL,
+    "op11_winnowing": WINNOWING_SQL,
 }
