@@ -10,17 +10,22 @@ def range_edges(df: DataFrame, key: Column, parts: int) -> list[int]:
     """Greatest keys of about ``parts`` ranges of equal row counts, ascending; the last one is
     the greatest key. Edges are keys that occur. Empty without a key that is not null.
 
-    One pass over the key column with a mergeable sketch; ``parts`` numbers reach the driver.
-    A key that holds more rows than a range has is an edge of its own.
+    Two passes over the key column: a mergeable sketch, which rounds long keys to doubles, and
+    the greatest key of each of its ranges. ``parts`` numbers reach the driver each time. A key
+    that holds more rows than a range has shares its range with few others.
     """
-    shares = [i / parts for i in range(1, parts)] + [1.0]
+    shares = [i / parts for i in range(1, parts)]
     found = df.agg(F.percentile_approx(key, shares, max(10_000, 10 * parts))).first()[0]
-    return sorted(set(found or ()))
+    rough = sorted(set(found or ()))
+    tops = df.where(key.isNotNull()).groupBy(range_of(key, rough)).agg(F.max(key).alias("top"))
+    return sorted(r["top"] for r in tops.collect())
 
 
 def range_of(key: Column, edges: list[int]) -> Column:
     """Index of the first edge that is not below the key, by binary search; ``len(edges)``
     beyond the last. The edges are one literal array, so the plan does not grow with them."""
+    if not edges:
+        return F.lit(0)
     table = F.split(F.lit(",".join(map(str, edges))), ",").cast("array<bigint>")
     steps = [1 << b for b in reversed(range(len(edges).bit_length()))]
     return F.aggregate(
