@@ -17,8 +17,8 @@ def range_edges(df: DataFrame, key: Column, parts: int) -> list[int]:
     shares = [i / parts for i in range(1, parts)]
     found = df.agg(F.percentile_approx(key, shares, max(10_000, 10 * parts))).first()[0]
     rough = sorted(set(found or ()))
-    tops = df.where(key.isNotNull()).groupBy(range_of(key, rough)).agg(F.max(key).alias("top"))
-    return sorted(r["top"] for r in tops.collect())
+    keys = df.where(key.isNotNull()).select(key.alias("key"), range_of(key, rough).alias("at"))
+    return sorted(r["top"] for r in keys.groupBy("at").agg(F.max("key").alias("top")).collect())
 
 
 def range_of(key: Column, edges: list[int]) -> Column:
