@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from opsreport.llm.common import written
 
 
-def _roots(parent: DataFrame) -> DataFrame:
+def chain_ends(parent: DataFrame) -> DataFrame:
     """Follows (x, p) with p < x to the end of each chain, doubling the step each time."""
     while True:
         up = parent.select(F.col("x").alias("p"), F.col("p").alias("top"))
@@ -38,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
     )
     labels: DataFrame | None = None
     while not edges.isEmpty():
-        roots = _roots(written(edges.groupBy("x").agg(F.min("y").alias("p")), "parents"))
+        roots = chain_ends(written(edges.groupBy("x").agg(F.min("y").alias("p")), "parents"))
         ends = [roots.select(F.col("x").alias(c), F.col("p").alias(f"{c}p")) for c in "xy"]
         left = (
             edges.join(ends[0], "x")

@@ -16,6 +16,7 @@ from opsreport.llm.mixing import mixture, quality_domains
 from opsreport.llm.order_minhash import near_duplicate_classes
 from opsreport.llm.quality import compression_bands
 from opsreport.llm.segmentation import segmentations
+from opsreport.llm.spelling import spelling_groups
 from opsreport.llm.token_counts import token_counts
 from opsreport.llm.token_files import token_file_digest
 from opsreport.llm.winnowing import edited_fingerprints
@@ -84,6 +85,10 @@ def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_projected_neighbours": op2_projected_neighbours,
@@ -96,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op9_n_best_segmentation": op9_n_best_segmentation,
     "op10_token_counts": op10_token_counts,
     "op11_winnowing": op11_winnowing,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 LINE_DEDUP_SQL = r"""
@@ -178,7 +184,8 @@ WITH {CRC_SQL.strip()}, d AS (
 ), cut AS (
   SELECT doc_id, kind, list_filter(regexp_split_to_array(
            regexp_replace(text, '([\p{{Han}}\p{{Hiragana}}\p{{Katakana}}\p{{Thai}}])', '  ', 'g'),
-           '[ 	-]+'), lambda x: x <> '') AS words FROM texts
+           '[ 	-
+]+'), lambda x: x <> '') AS words FROM texts
 ), codes AS (
   SELECT word, {_crc("hex(word)")} AS code
   FROM (SELECT DISTINCT unnest(words) AS word FROM cut), crc_table
@@ -226,8 +233,51 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_chars, edited_sha256, fingerprint, edited_
 FROM wide
 """
 
+SPELLING_SQL = rf"""
+WITH RECURSIVE {CRC_SQL.strip()}, runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+), counted AS (
+  SELECT run, hex(doc_id || ':' || run) AS x, count(*) AS n FROM runs
+  WHERE length(run) >= 5 GROUP BY doc_id, run
+), checked AS (
+  SELECT run, n, {_crc("x")} AS h FROM counted, crc_table
+), planted AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+         ELSE run END AS word, n FROM checked
+), vocabulary AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM planted
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), places AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary
+), holes AS (
+  SELECT DISTINCT word, n, i, substr(word, 1, i - 1) || chr(0) || substr(word, i + 1) AS hole,
+         substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM places
+), near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM holes a JOIN holes b USING (hole) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM holes a JOIN vocabulary b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM holes a JOIN vocabulary b ON a.rest = b.word
+), ranked AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near,
+         row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS k FROM near
+), formed AS (
+  SELECT v.word, v.n, coalesce(r.n_near, 0) AS n_near,
+         CASE WHEN r.near_n >= 2 * v.n THEN r.near END AS form,
+         CASE WHEN r.near_n >= 2 * v.n THEN r.near_n END AS form_n
+  FROM vocabulary v LEFT JOIN (SELECT * FROM ranked WHERE k = 1) r ON v.word = r.word
+), chain AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON c.at = f.word
+  WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chain c ON f.word = c.word JOIN formed g ON c.at = g.word
+WHERE g.form IS NULL
+"""
+
 ORACLE: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP_SQL,
     "op8_prefix_examples": CHAT_SQL,
     "op11_winnowing": WINNOWING_SQL,
+    "op13_spelling_variants": SPELLING_SQL,
 }
