@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from opsreport.llm import ann, chat
 from opsreport.llm.common import table
+from opsreport.llm.hard_negatives import hard_negatives
 from opsreport.llm.license_scan import scan_licenses
 from opsreport.llm.line_dedup import drop_boilerplate
 from opsreport.llm.mixing import mixture, quality_domains
@@ -85,6 +86,12 @@ def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0, label=noisy)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(table(spark, sf_dir, "documents"))
 
@@ -101,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op9_n_best_segmentation": op9_n_best_segmentation,
     "op10_token_counts": op10_token_counts,
     "op11_winnowing": op11_winnowing,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
@@ -275,9 +283,33 @@ FROM formed f JOIN chain c ON f.word = c.word JOIN formed g ON c.at = g.word
 WHERE g.form IS NULL
 """
 
+HARD_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP_SQL,
     "op8_prefix_examples": CHAT_SQL,
     "op11_winnowing": WINNOWING_SQL,
+    "op12_hard_negatives": HARD_NEGATIVES_SQL,
     "op13_spelling_variants": SPELLING_SQL,
 }
