@@ -1,82 +1,125 @@
 """Lookups along a time axis: carry-forward, effective-dated rows, month factors.
 
-A plain window over a whole series would put that series in one task. The
-carry-forward here works on three levels - within a minute, across the minutes of
-a day, across days - so no window group is larger than what one minute, one day of
-minutes, or the calendar can hold, however many rows one series has.
+A plain window over a whole series would put that series in one task. The carry-forward here
+is a prefix scan: a series with more rows than a task should hold is cut at quantiles of the
+time stamps, a window looks back within each piece, and the last values of the pieces, a small
+table, are scanned once and handed to the pieces that follow.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BEFORE = (Window.unboundedPreceding, -1)
+from opsreport.operators.ranges import parts_of, range_of, rough_edges
+
 _UP_TO = (Window.unboundedPreceding, Window.currentRow)
 
 
-def _last(c: Column, keys: list[str], order: str, inclusive: bool = False) -> Column:
-    frame = _UP_TO if inclusive else _BEFORE
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(*frame)
-    return F.last(c, ignorenulls=True).over(w)
+def micros(ts: Column | str) -> Column:
+    """Microseconds since 1970 of a zone-free time stamp, in any session zone."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), ts)
+
 
+def _all_set(names: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
 
-def _stamped(ts: Column | str, value: Column | str) -> Column:
-    """(time stamp, value), or NULL where there is no value."""
-    value = F.col(value) if isinstance(value, str) else value
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.when(value.isNotNull(), F.struct(ts.alias("ts"), value.alias("value")))
+
+def _in_pieces(df: DataFrame, keys: list[str], ts: str, parts: int) -> DataFrame:
+    """``df`` with ``_micros`` and ``_piece``, so that no (keys, piece) holds many more rows
+    than a ``parts``-th of the table, be they years or one minute of a series.
+
+    Pieces are cut where the time stamps of the whole table have their quantiles. Only series
+    with more than a ``parts``-th of all rows are cut (piece 0 and up); there are fewer than
+    ``parts`` of them, which become literal rows. Other series are piece -1 as a whole. Rows
+    without a key or time stamp belong to no series; a hash spreads them over lower numbers.
+    """
+    spark = df.sparkSession
+    at = range_of(F.col("_micros"), rough_edges(df, micros(ts), parts))
+    columns = [c.name for c in df.schema]
+    spread = -2 - F.pmod(F.xxhash64(*columns), F.lit(parts)).cast("int")
+    df = df.withColumn("_micros", micros(ts))
+    if not keys:
+        return df.withColumn("_piece", F.when(F.col(ts).isNotNull(), at).otherwise(spread))
+    named = df.where(_all_set([*keys, ts])).select(*keys)
+    sizes = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    found = sizes.where(F.col("_n") * parts > named.count()).drop("_n").toArrow()
+    large = spark.createDataFrame(found, named.schema).withColumn("_large", F.lit(True))
+    piece = F.when(F.col("_large"), at).otherwise(F.lit(-1))
+    return (
+        df.join(F.broadcast(large), keys, "left")
+        .withColumn("_piece", F.when(_all_set([*keys, ts]), piece).otherwise(spread))
+        .select(*columns, "_micros", "_piece")
+    )
+
+
+#: Pieces of all cut series that are broadcast to find the values at their ends.
+_FEW_PIECES = 100_000
+
+
+def _handed_on(
+    rows: DataFrame, keys: list[str], ts: str, values: list[str], parts: int
+) -> DataFrame:
+    """(keys, ``_piece``, ``<v>_before``): what the pieces before have as their last value of
+    ``v``, as (``ts``, ``value``). One row per piece of a cut series. Sums up without sorting
+    rows: first the last time stamps of each piece, then the values at these. There are fewer
+    than ``parts`` cut series with at most ``parts`` pieces each; up to ``_FEW_PIECES`` they are
+    broadcast, beyond that the rows of cut series are shuffled to meet them."""
+    group = [*keys, "_piece"]
+    cut = rows.where(F.col("_piece") >= 0)
+    last = cut.groupBy(*group).agg(
+        *[F.max(F.when(F.col(v).isNotNull(), F.col("_micros"))).alias(f"{v}_last") for v in values]
+    )
+    here = lambda v: F.col("_micros") == F.col(f"{v}_last")
+    at_ends = F.broadcast(last) if parts * parts <= _FEW_PIECES else last
+    ends = cut.join(at_ends, group).where(reduce(lambda a, b: a | b, [here(v) for v in values]))
+    ends = ends.groupBy(*group).agg(
+        *[F.max(F.when(here(v), F.col(ts))).alias(f"{v}_ts") for v in values],
+        *[F.max(F.when(here(v), F.col(v))).alias(v) for v in values],
+    )
+    # A piece without a value of its own still hands on what came to it.
+    pieces = last.select(*group).join(ends, group, "left")
+    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(_UP_TO[0], -1)
+
+    def handed(v: str) -> Column:
+        pair = F.struct(F.col(f"{v}_ts").alias("ts"), F.col(v).alias("value"))
+        return F.last(F.when(F.col(v).isNotNull(), pair), ignorenulls=True).over(before)
+
+    return pieces.select(*group, *[handed(v).alias(f"{v}_before") for v in values])
 
 
 def carry_points(
-    points: DataFrame, keys: list[str], ts: str, values: list[str], inclusive: bool = False
+    df: DataFrame, keys: list[str], ts: str, values: list[str], inclusive: bool = False
 ) -> DataFrame:
-    """Add ``<v>_carried``: (``ts``, ``value``) of the latest earlier point where ``v`` is set.
+    """Add ``<v>_carried``: (``ts``, ``value``) of the latest earlier row where ``v`` is set.
+
+    Series are told apart by ``keys``; without keys all rows are one series. Among rows of one
+    time stamp the greatest value counts. With ``inclusive`` a row sees the values of its own
+    time stamp. Rows without a key or a time stamp find nothing.
 
-    ``points`` must be unique by ``keys`` + ``ts``. With ``inclusive`` a point sees its
-    own value. All three levels read the same columns of ``points``, so its shuffle is
-    computed once and reused.
+    The rows move once, to their piece of a series; the look-back within it and the join with
+    what is handed on keep them there.
     """
-    minute_key = [*keys, "_day", "_minute"]
-    day_key = [*keys, "_day"]
-    points = points.withColumns(
-        {
-            "_day": F.to_date(ts),
-            "_minute": F.hour(ts) * 60 + F.minute(ts),
-        }
+    parts = parts_of(df.sparkSession)
+    rows = _in_pieces(df, keys, ts, parts)
+    group = [*keys, "_piece"]
+    back = Window.partitionBy(*group).orderBy("_micros")
+    back = back.rangeBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    mark = lambda v: F.when(
+        F.col(v).isNotNull(), F.struct(F.col(ts).alias("ts"), F.col(v).alias("value"))
     )
-    # Stated here because the joins below imply it for their own side only, which would
-    # make the three uses of ``points`` different plans.
-    points = points.where(F.col("_day").isNotNull() & F.col("_minute").isNotNull())
-
-    def latest(stamp: Callable[[str], Column]) -> list[Column]:
-        out = []
-        for v in values:
-            seen = F.when(F.col(v).isNotNull(), stamp(v))
-            out += [F.max_by(v, seen).alias(v), F.max(seen).alias(f"{v}_ts")]
-        return out
-
-    def earlier(within: list[str], order: str, tag: str) -> list[Column]:
-        return [
-            _last(_stamped(f"{v}_ts", v), within, order).alias(f"{v}_{tag}") for v in values
-        ]
-
-    by_minute = points.groupBy(*minute_key).agg(*latest(lambda v: F.col(ts)))
-    by_day = by_minute.groupBy(*day_key).agg(*latest(lambda v: F.col(f"{v}_ts")))
-    by_day = by_day.select(*day_key, *earlier(keys, "_day", "d"))
-    by_minute = by_minute.select(*minute_key, *earlier(day_key, "_minute", "m")).join(
-        by_day, day_key, "left"
-    )
-    inside = {f"{v}_i": _last(_stamped(ts, v), minute_key, ts, inclusive) for v in values}
-    return (
-        points.withColumns(inside)
-        .join(by_minute, minute_key, "left")
-        .select(
-            *[c for c in points.columns if c not in ("_day", "_minute")],
-            *[F.coalesce(f"{v}_i", f"{v}_m", f"{v}_d").alias(f"{v}_carried") for v in values],
-        )
+    inside = {f"{v}_inside": F.max(mark(v)).over(back) for v in values}
+    found = rows.withColumns(inside).join(_handed_on(rows, keys, ts, values, parts), group, "left")
+    complete = F.col("_piece") >= -1
+    return found.select(
+        *df.columns,
+        *[
+            F.when(complete, F.coalesce(f"{v}_inside", f"{v}_before")).alias(f"{v}_carried")
+            for v in values
+        ],
     )
 
 
@@ -95,18 +138,14 @@ def carry_forward(
     time stamp count. ``floor`` may use the columns of ``df``; a value stamped at or
     before it is not carried. Adds ``out`` and ``<out>_ts``.
 
-    Rows that share a time stamp collapse into one point before the shuffle; among
-    them the greatest valid value counts, which makes the choice deterministic.
+    Among valid rows of one time stamp the greatest value counts, which makes the choice
+    deterministic.
     """
-    points = (
-        df.where(F.col(ts).isNotNull()).groupBy(*keys, ts).agg(F.max(value).alias("_value"))
-    )
-    carried = carry_points(points, keys, ts, ["_value"], inclusive).drop("_value")
-    joined = df.join(carried, [*keys, ts], "left")
+    carried = carry_points(df.withColumn("_value", value), keys, ts, ["_value"], inclusive)
     hit = F.col("_value_carried")
     if floor is not None:
         hit = F.when(F.col("_value_carried.ts") > floor, hit)
-    return joined.withColumn("_hit", hit).select(
+    return carried.withColumn("_hit", hit).select(
         *df.columns,
         F.col("_hit.value").alias(out),
         F.col("_hit.ts").alias(f"{out}_ts"),

@@ -2,21 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def range_edges(df: DataFrame, key: Column, parts: int) -> list[int]:
-    """Greatest keys of about ``parts`` ranges of equal row counts, ascending; the last one is
-    the greatest key. Edges are keys that occur. Empty without a key that is not null.
+def parts_of(spark: SparkSession) -> int:
+    """How many ranges an order over a whole table is cut into: a few for every task."""
+    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def rough_edges(df: DataFrame, key: Column, parts: int) -> list[int]:
+    """Inner edges of about ``parts`` ranges of equal row counts, ascending. Empty without a
+    key that is not null. Keys above the last edge are a range too.
 
-    Two passes over the key column: a mergeable sketch, which rounds long keys to doubles, and
-    the greatest key of each of its ranges. ``parts`` numbers reach the driver each time. A key
-    that holds more rows than a range has shares its range with few others.
+    One pass over the key column with a mergeable sketch, which rounds long keys to doubles;
+    ``parts`` numbers reach the driver.
     """
-    shares = [i / parts for i in range(1, parts)]
+    shares = [i / parts for i in range(1, parts)] or [0.5]
     found = df.agg(F.percentile_approx(key, shares, max(10_000, 10 * parts))).first()[0]
-    rough = sorted(set(found or ()))
+    return sorted(set(found or ()))
+
+
+def range_edges(df: DataFrame, key: Column, parts: int) -> list[int]:
+    """Greatest keys of the ranges, ascending; the last one is the greatest key of all. Edges
+    are keys that occur, also where a double would not hold them: a second pass takes the
+    greatest key between two rough edges. A key that holds more rows than a range has shares
+    its range with few others."""
+    rough = rough_edges(df, key, parts)
     keys = df.where(key.isNotNull()).select(key.alias("key"), range_of(key, rough).alias("at"))
     return sorted(r["top"] for r in keys.groupBy("at").agg(F.max("key").alias("top")).collect())
 

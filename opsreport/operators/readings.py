@@ -129,8 +129,8 @@ def repaired_grades(assays: DataFrame, groups: dict[str, Column], value: Column)
     All groups are carried forward in the same pass over the pivoted rows.
     """
     pivot = grade_pivot(assays.where(F.col("ts").isNotNull()), groups, value)
-    points = pivot.withColumns({"_all": F.lit(1), **{f"{g}_valid": valid_grade(g) for g in groups}})
-    return carry_points(points, ["_all"], "ts", [f"{g}_valid" for g in groups]).drop("_all")
+    points = pivot.withColumns({f"{g}_valid": valid_grade(g) for g in groups})
+    return carry_points(points, [], "ts", [f"{g}_valid" for g in groups])
 
 
 def repaired(group: str, floor: Column) -> Column:

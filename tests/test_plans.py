@@ -5,9 +5,11 @@ from datetime import date
 
 import pytest
 from conftest import plant_of, t, table
+from pyspark.sql import functions as F
 
 from opsreport.functions.clean import reading
 from opsreport.operators.asof import carry_forward
+from opsreport.operators.consolidate import consolidate, limit_dates
 from opsreport.operators.intervals import assign_period
 from opsreport.operators.readings import crusher_feed
 from opsreport.operators.timeaxis import dates_frame, period_spine
@@ -72,12 +74,56 @@ def test_time_range_and_columns_reach_the_scans(stored_plant, spine):
     assert "GreaterThan(ts,2023-12-01T06:00)" in plan(cut["assays"])
 
 
-def test_carry_forward_never_gathers_a_whole_series(spark):
+def test_carry_forward_cuts_large_series_and_moves_rows_once(spark):
     rows = [("a", t(f"2024-01-0{d} 0{h}:00"), 1.0) for d in (1, 2) for h in range(9)]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double")
     text = plan(carry_forward(df, ["k"], "ts", reading("v")))
     windows = re.findall(r"Window \[.*?windowspecdefinition\((.*?), specifiedwindow", text)
-    specs = [re.sub(r"#\d+", "", w) for w in windows]
-    # Points within their minute, minutes within their day, and only days per series.
-    assert [s.split(" ASC")[0] for s in specs if "ts" in s] == ["k, _day, _minute, ts"]
-    assert [s.split(" ASC")[0] for s in specs if "ts" not in s] == ["k, _day, _minute", "k, _day"]
+    specs = [re.sub(r"#\d+L?", "", w).split(" ASC")[0] for w in windows]
+    # Rows within their piece, and only pieces per series.
+    assert sorted(specs) == ["k, _piece", "k, _piece, _micros"]
+    # One exchange carries rows as they are; the others carry sums per piece.
+    lines = [x for x in text.split("\n") if re.search("Exchange hash|HashAgg|Window|Join|Scan", x)]
+    below = [b for a, b in zip(lines, lines[1:], strict=False) if "Exchange hash" in a]
+    assert sum("Join" in x or "Scan" in x for x in below if "SortMergeJoin" not in x) == 1
+    assert "NestedLoop" not in text
+    # No task sorts rows to sum them up.
+    assert "SortAggregate" not in text
+
+
+def test_a_crowded_minute_is_cut(spark):
+    from opsreport.operators.asof import _in_pieces
+
+    df = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 700)).alias("k"),
+        F.timestamp_add(
+            "MICROSECOND",
+            F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.col("id") * 10**9),
+            F.lit("2024-01-01").cast("timestamp_ntz"),
+        ).alias("ts"),
+    )
+    parts = 8
+    sizes = _in_pieces(df, ["k"], "ts", parts).groupBy("k", "_piece").count().collect()
+    assert max(r["count"] for r in sizes) <= 1.1 * 9000 / parts
+    assert {r["_piece"] for r in sizes if r["k"] != "hot"} == {-1}
+
+
+def test_consolidation_hashes_its_groups(spark):
+    schema = (
+        "Data timestamp_ntz, x double, n int, ok boolean, note string, "
+        "_source_mtime timestamp_ntz, _source_name string, _source_row bigint"
+    )
+    rows = [(t("2024-01-01"), 1.0, 1, True, "a", t("2024-02-01"), "s", 0)]
+    text = plan(consolidate(spark.createDataFrame(rows, schema).drop("note")))
+    assert "HashAggregate" in text and "SortAggregate" not in text
+    assert "ObjectHashAggregate" not in text
+    # Text joins the few rows that won; no rows are sorted to be summed up.
+    assert "SortAggregate" not in plan(consolidate(spark.createDataFrame(rows, schema)))
+
+
+def test_a_date_is_split_once_for_every_use(spark):
+    df = spark.createDataFrame([("01.02.2024", 1.0)], "Data string, x double")
+    done = limit_dates(df, "Data", date(2024, 12, 31)).groupBy("Data").agg(F.sum("x"))
+    text = done._jdf.queryExecution().optimizedPlan().toString()
+    # Once in the filter, once in what it lets through.
+    assert text.count("split(") <= 3
