@@ -23,16 +23,27 @@ def positive_weighted_mean(value: Column | str, weight: Column | str) -> Column:
     return ratio(F.sum(v * w), F.sum(F.when(v > 0, w).otherwise(0.0)))
 
 
-def first_nonzero(value: str, dtype: T.DataType, priority: Column) -> Column:
-    """Value with the highest priority that is neither NULL nor zero.
+def counts_as_value(v: Column, dtype: T.DataType) -> Column:
+    """Whether a value may win: neither NULL nor the zero of its type; any text may."""
+    if isinstance(dtype, T.BooleanType):
+        return F.coalesce(v, F.lit(False))
+    if isinstance(dtype, T.NumericType):
+        return F.coalesce(v != 0, F.lit(False))
+    return v.isNotNull()
 
-    Numbers fall back to 0, truth values to false, everything else to NULL.
-    """
-    v = F.col(value)
+
+def or_zero_of(v: Column, dtype: T.DataType) -> Column:
+    """Numbers fall back to 0, truth values to false, everything else to NULL."""
     if isinstance(dtype, T.BooleanType):
-        # False is the zero of truth values: the newest true one, or false.
-        return F.coalesce(F.bool_or(v), F.lit(False))
+        return F.coalesce(v, F.lit(False))
     if isinstance(dtype, T.NumericType):
-        best = F.max_by(F.when(v != 0, v), F.when(v != 0, priority))
-        return F.coalesce(best, F.lit(0).cast(dtype))
-    return F.max_by(v, F.when(v.isNotNull(), priority))
+        return F.coalesce(v, F.lit(0).cast(dtype))
+    return v
+
+
+def is_fixed_width(dtype: T.DataType) -> bool:
+    """Whether a value can be updated in place in an aggregation buffer; a buffer that cannot
+    makes Spark sort the rows instead of hashing their groups."""
+    return isinstance(
+        dtype, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    )

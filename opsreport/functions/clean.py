@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsreport.functions.bind import let
+
 # Fixed values: "no reading" marker and the defaults used where a reading is missing.
 SENTINEL = -999.0
 DEFAULT_MOISTURE = 5.0
@@ -81,23 +83,27 @@ def parse_date(c: Column | str) -> Column:
     Read as day, month, year or, with four figures in front, as year, month, day, each value
     on its own. Separators are ``.``, ``/`` and ``-``; the time may lack seconds or carry a
     fraction, of which microseconds are kept. Put together from its numbers: the parsers of
-    Spark go through a time zone, where some midnights do not exist.
+    Spark go through a time zone, where some midnights do not exist. Text and numbers are bound,
+    so that neither is worked out again for every number.
     """
-    text = F.trim(col(c))
-    parts = F.split(text, "[^0-9]+")
-
-    def number(k: int) -> Column:
-        return F.coalesce(F.get(parts, F.lit(k)).try_cast("int"), F.lit(0))
-
-    year_first = F.length(F.get(parts, F.lit(0))) == 4
-    fraction = F.substring(F.coalesce(F.get(parts, F.lit(6)), F.lit("0")), 1, 6)
-    seconds = F.concat(number(5).cast("string"), F.lit("."), fraction).try_cast("decimal(16,6)")
-    moment = F.try_make_timestamp_ntz(
-        F.when(year_first, number(0)).otherwise(number(2)),
-        number(1),
-        F.when(year_first, number(2)).otherwise(number(0)),
-        number(3),
-        number(4),
-        seconds,
-    )
-    return F.when(text.rlike(_DATE), moment)
+    return let(F.trim(col(c)), lambda text: F.when(text.rlike(_DATE), _moment(text)))
+
+
+def _moment(text: Column) -> Column:
+    def put_together(parts: Column) -> Column:
+        def number(k: int) -> Column:
+            return F.coalesce(F.get(parts, F.lit(k)).try_cast("int"), F.lit(0))
+
+        year_first = F.length(F.get(parts, F.lit(0))) == 4
+        fraction = F.substring(F.coalesce(F.get(parts, F.lit(6)), F.lit("0")), 1, 6)
+        seconds = F.concat(number(5).cast("string"), F.lit("."), fraction)
+        return F.try_make_timestamp_ntz(
+            F.when(year_first, number(0)).otherwise(number(2)),
+            number(1),
+            F.when(year_first, number(2)).otherwise(number(0)),
+            number(3),
+            number(4),
+            seconds.try_cast("decimal(16,6)"),
+        )
+
+    return let(F.split(text, "[^0-9]+"), put_together)

@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsreport.operators.consolidate import consolidate, limit_dates, summarize
+from opsreport.operators.consolidate import consolidate, limit_dates
 from opsreport.operators.timeaxis import DEFAULT_LOOK_BACK, resolve_range
 from opsreport.operators.treatment import treat
 from opsreport.plans.report import plant_report
@@ -137,10 +137,11 @@ def run_consolidation(
     if snapshots is None or limit_dates(snapshots, "Data", limit).isEmpty():
         log.error("nothing to consolidate in %s", store.treated)
         return 1
-    if not write_consolidated(consolidate(snapshots, limit), store.consolidated, force):
+    done = write_consolidated(consolidate(snapshots, limit), store.consolidated, force)
+    if done is None:
         log.info("consolidated table exists, kept: %s", store.consolidated)
-        return 0
-    log.info("consolidated: %s", summarize(spark.read.parquet(store.consolidated)).first())
+    else:
+        log.info("consolidated: %s", done)
     return 0
 
 

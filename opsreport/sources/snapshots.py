@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime
+from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,24 +86,28 @@ def write_snapshot(
     # Brings the few rows of a report date together into one file; a date that turns out
     # large is split at run time.
     out = df.withColumn(STAMP, clean.at(at)).hint("rebalance", PARTITION)
-    writer = out.write.partitionBy(PARTITION)
+    # Rows are counted on their way to the files.
+    counted = Observation()
+    writer = out.observe(counted, F.count(F.lit(1)).alias("rows")).write.partitionBy(PARTITION)
     if force:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     else:
         writer.mode("append").parquet(path)
-    now = partitions()
-    if now is None or STAMP not in now.columns:
-        return 0
-    return now.where(F.col(STAMP) == clean.at(at)).count()
+    return counted.get["rows"]
 
 
 def read_snapshots(
-    spark: SparkSession, path: str, limit: date | None = None, date_column: str = "Data"
+    spark: SparkSession,
+    path: str,
+    limit: date | None = None,
+    date_column: str = "Data",
+    only: Sequence[date] | None = None,
 ) -> DataFrame | None:
     """Rows of all snapshots up to the limit, with their source columns.
 
     Folders whose name is not a date are skipped. The limit is a partition filter, so
-    later snapshots are not read. A missing date reads as the report date.
+    later snapshots are not read, and so are the report dates in ``only``. A missing date
+    reads as the report date.
     """
     df = stored(spark, path, merged=True)
     if df is None:
@@ -111,6 +116,8 @@ def read_snapshots(
     df = df.where(day.isNotNull())
     if limit is not None:
         df = df.where(day <= F.lit(limit))
+    if only is not None:
+        df = df.where(day.isin(*only))
     written = F.col("_metadata.file_modification_time").cast("timestamp_ntz")
     mtime, name, row = SOURCE_COLUMNS
     default = day.cast("timestamp_ntz")
@@ -130,9 +137,20 @@ def read_snapshots(
     )
 
 
-def write_consolidated(df: DataFrame, path: str, overwrite: bool = False) -> bool:
-    """Write the consolidated table; an existing one is kept unless overwritten."""
+def write_consolidated(
+    df: DataFrame, path: str, overwrite: bool = False, date_column: str = "Data"
+) -> dict[str, Any] | None:
+    """Write the consolidated table; an existing one is kept unless overwritten.
+
+    What was written, summed up on the way: ``rows``, ``first_date``, ``last_date``. None
+    where the existing table was kept.
+    """
     if not overwrite and stored(df.sparkSession, path) is not None:
-        return False
-    df.write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
-    return True
+        return None
+    summed = Observation()
+    sums = [F.count(F.lit(1)).alias("rows")]
+    if date_column in df.columns:
+        sums += [F.min(date_column).alias("first_date"), F.max(date_column).alias("last_date")]
+    out = df.observe(summed, *sums)
+    out.write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
+    return summed.get
