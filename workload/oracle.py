@@ -848,5 +848,6 @@ ORACLE: dict[str, str] = {
     "report_accumulated": report_accumulated_sql(),
     "multi_date_report": multi_date_sql(),
     "snapshot_roundtrip": SNAPSHOTS,
+    "incremental_consolidation": SNAPSHOTS,
     "report_run": report_run_sql(),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
@@ -34,6 +35,7 @@ from opsreport.operators.timeaxis import DateRange, dates_frame, period_spine
 from opsreport.operators.treatment import treat
 from opsreport.plans.columns import SCENARIO_SUFFIX, accumulated_columns, actual_columns
 from opsreport.plans.columns import plan_columns
+from opsreport.plans.incremental import refresh
 from opsreport.plans.jobs import Store, run
 from opsreport.plans.report import area_rates, day_facts, pinned, plant_report
 from opsreport.sources.codes import MOISTURE
@@ -432,24 +434,35 @@ def union_by_name_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Spellings of an order's date by its key; the fourth is broken, after the last comes none.
 SPELLINGS = (
-    "dd.MM.yyyy",
-    "yyyy-MM-dd",
-    "dd/MM/yyyy",
-    "'32'.MM.yyyy",
-    "dd-MM-yyyy HH:mm:ss",
-    "d.M.yyyy H:mm:ss",
-    "dd/MM/yyyy HH:mm",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy/MM/dd",
-    "yyyy-MM-dd HH:mm:ss.SSS",
+    "{d2}.{m2}.{y}",
+    "{y}-{m2}-{d2}",
+    "{d2}/{m2}/{y}",
+    "32.{m2}.{y}",
+    "{d2}-{m2}-{y} {time}",
+    "{d}.{m}.{y} 0:00:00",
+    "{d2}/{m2}/{y} 00:00",
+    "{y}-{m2}-{d2}T{time}",
+    "{y}/{m2}/{d2}",
+    "{y}-{m2}-{d2} {time}.000",
 )
 
 
+def _spelled(moment: str, spelling: str) -> Column:
+    """A date written from its numbers, in which no time zone has a part."""
+    number = {"d": F.day(moment), "m": F.month(moment), "y": F.year(moment)}
+    two = {f"{k}2": F.lpad(number[k].cast("string"), 2, "0") for k in "dm"}
+    fill = {k: v.cast("string") for k, v in number.items()} | two | {"time": F.lit("00:00:00")}
+    pieces = re.split(r"\{(\w+)\}", spelling)
+    return F.concat(*[fill[x] if i % 2 else F.lit(x) for i, x in enumerate(pieces)])
+
+
 def limit_and_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates written in many spellings, some of them broken."""
     orders = tables(spark, sf_dir, "orders")["orders"]
-    spelled = [F.date_format("o_orderdate", f) for f in SPELLINGS]
-    text = F.get(F.array(*spelled), (F.col("o_orderkey") % (len(SPELLINGS) + 1)).cast("int"))
+    text = F.lit(None).cast("string")
+    for k, spelling in enumerate(SPELLINGS):
+        turn = F.col("o_orderkey") % (len(SPELLINGS) + 1) == k
+        text = F.when(turn, _spelled("o_orderdate", spelling)).otherwise(text)
     df = orders.select(text.alias("Data"), "o_totalprice")
     return rounded(
         limit_dates(df, "Data", date(1999, 12, 31))
@@ -520,6 +533,20 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{datetime.now():%Y%m%d%H%M%S%f}"
 
 
+def _event_days(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A snapshot per day of events, one that must change nothing, and a restatement."""
+    events = tables(spark, sf_dir, "events")["events"]
+    day = F.to_date("ts")
+    kinds = ("click", "view", "purchase", "error", "signup")
+    daily = events.groupBy(day.alias("report_date")).agg(
+        F.max(day.cast("timestamp_ntz")).alias("Data"),
+        *[F.sum(F.when(F.col("event_type") == k, F.col("value"))).alias(k) for k in kinds],
+    )
+    lowered = daily.withColumns({k: F.lit(-1.0) for k in kinds})
+    late = daily.where(F.dayofmonth("report_date") >= 20)
+    return daily, lowered, late.withColumns({k: F.col(k) * 2.0 for k in kinds})
+
+
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event snapshots written twice per date, corrected once, read back, consolidated.
 
@@ -528,26 +555,36 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshot of the 15th has no date column of its own.
     """
     root = _scratch(spark, "snapshots")
-    events = tables(spark, sf_dir, "events")["events"]
-    day = F.to_date("ts")
-    kinds = ("click", "view", "purchase", "error", "signup")
-    daily = events.groupBy(day.alias("report_date")).agg(
-        F.max(day.cast("timestamp_ntz")).alias("Data"),
-        *[F.sum(F.when(F.col("event_type") == k, F.col("value"))).alias(k) for k in kinds],
-    )
+    daily, lowered, late = _event_days(spark, sf_dir)
     first = F.dayofmonth("report_date")
     write_snapshot(daily.where(first == 15).drop("Data"), root, at=datetime(2024, 2, 1))
     daily.limit(1).drop("report_date").write.parquet(f"{root}/report_date=old")
     write_snapshot(daily, root, at=datetime(2024, 2, 1))
-    lowered = daily.withColumns({k: F.lit(-1.0) for k in kinds})
     write_snapshot(lowered, root, at=datetime(2024, 2, 2))
-    late = daily.where(first >= 20).withColumns({k: F.col(k) * 2.0 for k in kinds})
     write_snapshot(late, root, force=True, at=datetime(2024, 2, 3))
     merged = consolidate(read_snapshots(spark, root, date(2024, 1, 28)), date(2024, 1, 28))
     write_consolidated(merged, f"{root}-consolidated")
     return rounded(spark.read.parquet(f"{root}-consolidated"))
 
 
+def incremental_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same snapshots, arriving in three steps with a state that is refreshed after each.
+
+    First the days up to the 10th, then the others, then the restated ones, whose former
+    values must be gone from the state.
+    """
+    root, limit = _scratch(spark, "increments"), date(2024, 1, 28)
+    daily, lowered, late = _event_days(spark, sf_dir)
+    early = F.dayofmonth("report_date") <= 10
+    write_snapshot(daily.where(early), root, at=datetime(2024, 2, 1))
+    refresh(spark, root, f"{root}-state", limit)
+    write_snapshot(daily.where(~early), root, at=datetime(2024, 2, 1))
+    write_snapshot(lowered, root, at=datetime(2024, 2, 2))
+    refresh(spark, root, f"{root}-state", limit)
+    write_snapshot(late, root, force=True, at=datetime(2024, 2, 3))
+    return rounded(refresh(spark, root, f"{root}-state", limit).table)
+
+
 def report_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole run over ten report dates, done twice, and its consolidated table.
 
@@ -593,5 +630,6 @@ QUERIES: dict[str, Query] = {
     "report_accumulated": report_accumulated,
     "multi_date_report": multi_date_report,
     "snapshot_roundtrip": snapshot_roundtrip,
+    "incremental_consolidation": incremental_consolidation,
     "report_run": report_run,
 }
