@@ -29,8 +29,9 @@ How it scales
   are not all of one class are joined on their rarest labelled shingles: two documents that
   share enough of them for the bound share one among the rarest n - needed + 1 of each (prefix
   filter), whatever the order. Pairs of different classes are verified. Shingles of one class
-  alone drop out before the join, frequent ones are spread over salts. Nothing is capped: a
-  group whose members all reach just below the bound costs its pairs.
+  alone drop out before the join; in the others only the rows outside of the most frequent class
+  ask, each of them once for every ``CHUNK`` rows. Nothing is capped: a group whose members all
+  reach just below the bound costs its pairs.
 - Hubs meet their members in chunks of ``CHUNK``, streamed: a task holds one hub and one member.
 - Texts meet ids in sort-merge joins at every size: ids of candidates grow with the corpus, so
   a plan that sends them to every task would only do for a small one.
@@ -282,31 +283,36 @@ def open_pairs(docs: DataFrame, least: float) -> DataFrame:
     often[counts["cell"].to_numpy()] = np.minimum(counts["k"].to_numpy(), 0xFFFFFFFF)
     often = docs.sparkSession.sparkContext.broadcast(often)
     entries = written(docs.mapInArrow(_rarest(often, least), RAREST), "rarest")
-    shared = entries.groupBy("h").agg(
-        F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("salts"),
-        F.min("label").alias("low"),
-        F.max("label").alias("high"),
+    by_label = entries.groupBy("h", "label").agg(F.count(F.lit(1)).alias("k"))
+    shared = by_label.groupBy("h").agg(
+        F.ceil(F.sum("k") / CHUNK).cast("int").alias("salts"),
+        F.max_by("label", "k").alias("main"),
+        F.count(F.lit(1)).alias("labels"),
     )
-    shared = shared.where("low <> high").select("h", "salts")
+    shared = shared.where("labels > 1").drop("labels")
     entries = written(entries.join(shared, "h"), "rarest")
-    a = entries.select(
+    # Within a label nothing is left to find, so only the rows outside of a shingle's main label
+    # ask, and each pair of these once.
+    a = entries.where("label <> main").select(
         "h",
-        F.pmod(F.xxhash64("doc"), "salts").cast("int").alias("salt"),
+        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
         *[F.col(c).alias(f"{c}_a") for c in ("doc", "label", "n", "place")],
     )
     b = entries.select(
         "h",
-        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+        F.pmod(F.xxhash64("doc"), "salts").cast("int").alias("salt"),
+        (F.col("label") == F.col("main")).alias("is_main"),
         *[F.col(c).alias(f"{c}_b") for c in ("doc", "label", "n", "place")],
     )
     needed = F.ceil((F.col("n_a") + F.col("n_b")) * (least / (1 + least)) - 1e-6)
     pairs = a.join(b, ["h", "salt"]).where(
-        (F.col("doc_a") < F.col("doc_b"))
+        (F.col("is_main") | (F.col("doc_a") < F.col("doc_b")))
         & (F.col("label_a") != F.col("label_b"))
         & (F.col("n_a") - F.col("place_a") >= needed)
         & (F.col("n_b") - F.col("place_b") >= needed)
     )
-    return pairs.select(F.col("doc_a").alias("hub"), F.col("doc_b").alias("doc")).distinct()
+    ends = [F.least("doc_a", "doc_b").alias("hub"), F.greatest("doc_a", "doc_b").alias("doc")]
+    return pairs.select(*ends).distinct()
 
 
 def _with_label(df: DataFrame, column: str, labels: DataFrame | None, name: str) -> DataFrame:
@@ -337,14 +343,30 @@ def near_duplicate_classes(
         .select(
             "doc_id",
             "n",
+            "h1",
+            "h2",
             F.when(F.col("n") > 0, F.coalesce("rep", "doc_id"))
             .otherwise(F.col("doc_id"))
             .alias("rep"),
         ),
         "members",
     )
-    later = member.where("rep <> doc_id").select("doc_id").distinct()
-    reps = worded.select("doc_id", "n", "sketch").join(later, "doc_id", "left_anti")
+    later = member.where("rep <> doc_id").select("doc_id", "h1", "h2").distinct()
+    reps = worded.join(later, ["doc_id", "h1", "h2"], "left_anti").select("doc_id", "n", "sketch")
+    # A document of several texts ties those together that they are copies of.
+    several = member.groupBy("doc_id").agg(F.count_distinct("h1", "h2").alias("k")).where("k > 1")
+    ties = written(
+        member.join(several, "doc_id", "left_semi")
+        .where("rep <> doc_id")
+        .select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+        .distinct(),
+        "ties",
+    )
+
+    def classes_of(links: DataFrame) -> DataFrame:
+        edges = links.select(F.col("hub").alias("a"), F.col("doc").alias("b"))
+        return components(edges.unionByName(ties))
+
     keys = reps.select("doc_id", "n", F.posexplode("sketch").alias("band", "value"))
     full = (
         keys.groupBy("band", "value")
@@ -376,7 +398,7 @@ def near_duplicate_classes(
         if not n_found:
             break
         links = found if links is None else links.unionByName(found)
-        labels = components(links.select(F.col("hub").alias("a"), F.col("doc").alias("b")))
+        labels = classes_of(links)
         if n_found < LEAST_PAYING * pairs.count():
             break
         rest = sized.drop("own", "its")
@@ -397,7 +419,9 @@ def near_duplicate_classes(
         found = written(verified(pairs, texts, least), "links")
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
-            labels = components(links.select(F.col("hub").alias("a"), F.col("doc").alias("b")))
+            labels = classes_of(links)
+    if labels is None and not ties.isEmpty():
+        labels = components(ties)
     classes = _with_label(member, "rep", labels, "class_id")
     per = classes.groupBy("doc_id").agg(
         F.min("class_id").alias("class_id"), F.max("n").alias("n_shingles")

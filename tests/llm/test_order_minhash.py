@@ -179,3 +179,30 @@ def test_versions_of_linked_members_are_compared_with_them(spark):
     df = spark.createDataFrame(list(texts.items()), SCHEMA)
     got = {r.doc_id: r.class_id for r in O.near_duplicate_classes(df).collect()}
     assert got == {i: root(i) for i in texts}
+
+
+def test_a_document_of_two_texts_keeps_the_links_of_both(spark):
+    first, second = prose(51, 90), prose(52, 200)
+    rows = [(1, first), (5, first), (5, edited(second, 3, 4)), (9, second), (12, prose(53, 90))]
+    got = O.near_duplicate_classes(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: r.class_id for r in got} == {1: 1, 5: 1, 9: 1, 12: 12}
+    # Ties alone, without any near link.
+    rows = [(1, first), (5, first), (5, second), (9, second)]
+    got = O.near_duplicate_classes(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: r.class_id for r in got} == {1: 1, 5: 1, 9: 1}
+
+
+def test_open_pairs_hold_every_pair_of_the_bound(spark):
+    # One large class, some stragglers, two small classes: versions of one template.
+    base = prose(60, 150)
+    texts = [(i, 1 if i < 60 else i, edited(base, 700 + i, 2 + i % 9)) for i in range(80)]
+    texts += [(100 + i, 100 + i // 2, edited(base, 900 + i, 3)) for i in range(4)]
+    docs = spark.createDataFrame(texts, "doc_id long, label long, text string")
+    found = {(r.hub, r.doc) for r in O.open_pairs(docs, 0.8).collect()}
+    assert all(a < b for a, b in found)
+    values = {i: O.labelled(O.words_of(t)) for i, _, t in texts}
+    label = {i: x for i, x, _ in texts}
+    for (a, x), (b, y) in combinations(values.items(), 2):
+        order = np.argsort(x)
+        if label[a] != label[b] and O.aligned(x, order, x[order], y, 0.8):
+            assert (a, b) in found
