@@ -363,9 +363,11 @@ def near_duplicate_classes(
         "ties",
     )
 
+    tied = not ties.isEmpty()
+
     def classes_of(links: DataFrame) -> DataFrame:
         edges = links.select(F.col("hub").alias("a"), F.col("doc").alias("b"))
-        return components(edges.unionByName(ties))
+        return components(edges.unionByName(ties) if tied else edges)
 
     keys = reps.select("doc_id", "n", F.posexplode("sketch").alias("band", "value"))
     full = (
@@ -420,7 +422,7 @@ def near_duplicate_classes(
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             labels = classes_of(links)
-    if labels is None and not ties.isEmpty():
+    if labels is None and tied:
         labels = components(ties)
     classes = _with_label(member, "rep", labels, "class_id")
     per = classes.groupBy("doc_id").agg(

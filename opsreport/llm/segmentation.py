@@ -30,6 +30,8 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +43,13 @@ from opsreport.llm.common import record, struct_column, text_or_empty
 
 MARK = "▁"
 N_BEST = 4
-#: Parts, and pieces of parts between safe places, that a worker remembers, at most twice.
-MEMO = 300_000
-CUTS = 700_000
+#: Bytes of parts, and of pieces of parts between safe places, that a worker remembers, at most
+#: twice; about what an entry takes beside its text and ids.
+MEMO = 64 << 20
+CUTS = 96 << 20
+ENTRY = 300
+#: Characters of text whose parts are numbered and looked up together.
+TOGETHER = 1 << 22
 UNKNOWN_PENALTY = 10.0
 
 ENCODED, ENCODED_ARROW = record(
@@ -82,14 +88,26 @@ class Pieces:
         self.unknown = min(scores, default=0.0) - UNKNOWN_PENALTY
         self.unknown_id = sp.unk_id()
         self.parted = not any(MARK in p.lstrip(MARK) for p in self.id)
-        # Score and ids of each piece; empty for what only begins one.
-        self.openings: dict[str, tuple] = {
-            p[:k]: () for p in self.id for k in range(1, len(p) + 1)
-        }
-        self.openings |= {p: (self.score[i], (i,)) for p, i in self.id.items()}
-        self.pairs = {p[k : k + 2] for p in self.id for k in range(len(p) - 1)}
+        # A trie: for each character what follows, and score and ids if a piece ends there.
+        self.openings: dict[str, list] = {}
+        for p, i in self.id.items():
+            following = self.openings
+            for c in p:
+                node = following.setdefault(c, [{}, 0.0, None])
+                following = node[0]
+            node[1], node[2] = self.score[i], (i,)
+        # Number of each character of a piece, 0 for all others, and which stand side by side.
+        letters = sorted({c for p in self.id for c in p})
+        self.number = np.zeros(0x110000, np.uint16)
+        self.number[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.side_by_side = np.zeros((len(letters) + 1, len(letters) + 1), bool)
+        for p in self.id:
+            own = self.number[[ord(c) for c in p]]
+            self.side_by_side[own[:-1], own[1:]] = True
+        self.longest = max(map(len, self.id), default=1)
         self.cuts: dict[str, tuple[float, float, bytes]] = {}
         self.old_cuts: dict[str, tuple[float, float, bytes]] = {}
+        self.cut_bytes = self.memo_bytes = 0
         self.memo: dict[str, tuple[float, float, bytes]] = {}
         self.old: dict[str, tuple[float, float, bytes]] = {}
         # What an id stands for in a text; bytes above 127 as escapes that go back to bytes.
@@ -104,30 +122,34 @@ class Pieces:
     def _forward(self, text: str) -> tuple[list[list[tuple]], list[float]]:
         """For each place the pieces (begin, score, ids) that end there, and the best score."""
         size = len(text)
-        opens = self.openings.get
+        first, longest = self.openings.get, self.longest
         ends: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
         forward = [0.0] + [float("-inf")] * size
         for begin in range(size):
             base = forward[begin]
-            single = False
-            for end in range(begin + 1, size + 1):
-                hit = opens(text[begin:end])
+            end, follows = begin, first
+            for c in text[begin : begin + longest]:
+                hit = follows(c)
                 if hit is None:
                     break
-                if hit:
-                    s, one = hit
+                end += 1
+                following, s, one = hit
+                if one is not None:
                     ends[end].append((begin, s, one))
                     if base + s > forward[end]:
                         forward[end] = base + s
-                    if end == begin + 1:
-                        single = True
-            if not single:
-                ids = tuple([self.byte[b] for b in text[begin].encode("utf-8", "replace")])
-                ids = ids if min(ids) >= 0 else (self.unknown_id,)
-                ends[begin + 1].append((begin, self.unknown, ids))
+                follows = following.get
+            last = ends[begin + 1]
+            if not last or last[-1][0] != begin:
+                ends[begin + 1].append((begin, self.unknown, self._fallback(text[begin])))
                 forward[begin + 1] = max(forward[begin + 1], base + self.unknown)
         return ends, forward
 
+    def _fallback(self, character: str) -> tuple[int, ...]:
+        """Ids of the bytes of a character without a piece."""
+        ids = tuple([self.byte[b] for b in character.encode("utf-8", "replace")])
+        return ids if min(ids) >= 0 else (self.unknown_id,)
+
     def n_best(self, text: str, n: int) -> list[Segmentation]:
         """Up to n segmentations of a part, best first."""
         ends, forward = self._forward(text)
@@ -172,28 +194,44 @@ class Pieces:
             place, own, ids = to, own + score, taken + ids
         return best, best - second, ids
 
+    def _cut_ends(self, text: str, stops: np.ndarray) -> list[int]:
+        """Places no piece crosses, as none holds the two characters side by side, and the
+        given ones."""
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        known = self.number[points]
+        held = self.side_by_side[known[:-1], known[1:]]
+        return np.union1d(np.flatnonzero(~held) + 1, stops).tolist()
+
     def _learn(self, parts: set[str]) -> None:
         """For each part: score of the best, loss of the second, ids of the best."""
         for part in parts & self.old.keys():
-            self.memo[part] = self.old[part]
+            self.memo[part] = known = self.old[part]
+            self.memo_bytes += ENTRY + 2 * len(part) + len(known[2])
             parts.discard(part)
-        if len(self.cuts) > CUTS:
-            self.old_cuts, self.cuts = self.cuts, {}
-        for part in parts:
-            best, loss, ids, at = 0.0, float("inf"), b"", 0
-            for k in range(1, len(part) + 1):
-                # No piece holds the two characters side by side, so none crosses this place.
-                if k == len(part) or part[k - 1 : k + 1] not in self.pairs:
-                    cut = part[at:k]
-                    known = self.cuts.get(cut)
+        if self.cut_bytes > CUTS:
+            self.old_cuts, self.cuts, self.cut_bytes = self.cuts, {}, 0
+        cuts, old_cuts = self.cuts, self.old_cuts
+        todo = list(parts)
+        text, stops = "".join(todo), np.cumsum([len(x) for x in todo])
+        places = iter(self._cut_ends(text, stops))
+        at = 0
+        for part, stop in zip(todo, stops.tolist(), strict=True):
+            best, loss, ids = 0.0, float("inf"), b""
+            for k in places:
+                cut = text[at:k]
+                known = cuts.get(cut)
+                if known is None:
+                    known = old_cuts.get(cut)
                     if known is None:
-                        known = self.old_cuts.get(cut)
-                        if known is None:
-                            score, second, one = self.best_two(cut)
-                            known = (score, second, np.array(one, "<u4").tobytes())
-                        self.cuts[cut] = known
-                    best, loss, ids, at = best + known[0], min(loss, known[1]), ids + known[2], k
+                        score, second, one = self.best_two(cut)
+                        known = (score, second, pack(f"<{len(one)}I", *one))
+                    cuts[cut] = known
+                    self.cut_bytes += ENTRY + 2 * len(cut) + len(known[2])
+                best, loss, ids, at = best + known[0], min(loss, known[1]), ids + known[2], k
+                if k == stop:
+                    break
             self.memo[part] = (best, loss, ids)
+            self.memo_bytes += ENTRY + 2 * len(part) + len(ids)
 
     # -- texts
 
@@ -204,23 +242,54 @@ class Pieces:
         marked = MARK + text.replace(" ", MARK)
         return _PARTS.findall(marked) if self.parted else [marked]
 
-    def ways(self, text: str, n: int) -> tuple[list[bytes], list[tuple[float, dict[int, bytes]]]]:
-        """The best ids of each part, and up to n ways: (score, {part: other ids})."""
-        parts = self.parts(text)
-        if len(self.memo) > MEMO:
-            self.old, self.memo = self.memo, {}
-        missing = set(parts).difference(self.memo)
+    def looked_up(self, parts: list[str]) -> list[tuple[float, float, bytes]]:
+        """Score of the best, loss of the second and ids of the best, of different parts."""
+        if self.memo_bytes > MEMO:
+            self.old, self.memo, self.memo_bytes = self.memo, {}, 0
+        missing = {p for p in parts if p not in self.memo}
         if missing:
             self._learn(missing)
-        own = list(map(self.memo.__getitem__, parts))
-        best = sum([x[0] for x in own])
-        near = nearest_parts([x[1] for x in own], n)
+        return list(map(self.memo.__getitem__, parts))
+
+    def _joined_ways(
+        self, parts: list[str], best: float, losses: list[float] | np.ndarray, n: int
+    ) -> list[tuple[float, dict[int, bytes]]]:
+        """Up to n ways through the parts: (score, {part: other ids})."""
+        near = nearest_parts(losses, n)
         others = [self.n_best(parts[k], n) for k in near]
         out = []
         for loss, way in join_parts([[s for s, _ in found] for found in others], n):
             changed = {near[a]: np.array(others[a][c][1], "<u4").tobytes() for a, c in way}
             out.append((best - loss, changed))
-        return [x[2] for x in own], out
+        return out
+
+    def ways(self, text: str, n: int) -> tuple[list[bytes], list[tuple[float, dict[int, bytes]]]]:
+        """The best ids of each part, and up to n ways: (score, {part: other ids})."""
+        parts = self.parts(text)
+        different = list(dict.fromkeys(parts))
+        known = dict(zip(different, self.looked_up(different), strict=True))
+        own = [known[p] for p in parts]
+        found = self._joined_ways(parts, sum([x[0] for x in own]), [x[1] for x in own], n)
+        return [x[2] for x in own], found
+
+    def ways_of_many(self, texts: list[str], n: int) -> Iterator[tuple]:
+        """For each text its ids, the ways, and for every part changed by one the ids of its
+        best. The parts of all texts are numbered at once; each different one is looked up once."""
+        split = [self.parts(t) for t in texts]
+        sizes = [len(x) for x in split]
+        column = pa.array([p for x in split for p in x], pa.large_string()).dictionary_encode()
+        known = self.looked_up(column.dictionary.to_pylist())
+        codes = column.indices.to_numpy()
+        best, losses = (np.array([x[k] for x in known], np.float64) for k in (0, 1))
+        data = [x[2] for x in known]
+        at = 0
+        for parts, size in zip(split, sizes, strict=True):
+            own = codes[at : at + size]
+            at += size
+            score = sum(best[own].tolist())
+            found = self._joined_ways(parts, score, losses[own], n)
+            first = {k: data[own[k]] for _, changed in found for k in changed}
+            yield b"".join(map(data.__getitem__, own.tolist())), found, first
 
     def encode(self, text: str, n: int = N_BEST) -> list[Segmentation]:
         """Up to n segmentations of a text, best first."""
@@ -240,11 +309,11 @@ class Pieces:
         return text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
 
 
-def nearest_parts(losses: list[float], n: int) -> list[int]:
+def nearest_parts(losses: list[float] | np.ndarray, n: int) -> list[int]:
     """The n - 1 parts that lose least by their second way, the later first among equals."""
-    if n <= 1 or not losses:
+    if n <= 1 or not len(losses):
         return []
-    loss = np.array(losses)
+    loss = np.asarray(losses)
     near = np.arange(len(loss))
     if len(loss) >= n:
         near = np.flatnonzero(loss <= np.partition(loss, n - 2)[n - 2])
@@ -274,6 +343,20 @@ def join_parts(scores: list[list[float]], n: int) -> list[tuple[float, tuple]]:
     return out
 
 
+def together(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in groups of about ``TOGETHER`` characters."""
+    group: list[str] = []
+    size = 0
+    for t in texts:
+        group.append(t)
+        size += len(t)
+        if size >= TOGETHER:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 _LOADED: dict[str, Pieces] = {}
 
 
@@ -317,29 +400,27 @@ def segmentation_digest(text: str | Column, path: str, n: int = N_BEST) -> Colum
     def digest(column: pa.Array) -> pa.Array:
         p = pieces(path)
         rows = []
-        for t in column.to_pylist():
-            own, found = p.ways(t, n)
-            data = b"".join(own)
-            ids = np.frombuffer(data, "<u4")
-            listed = ids.tolist()
-            # The other ways differ in the parts they change, and must read the same there.
-            same = all(
-                p._joined(np.frombuffer(x, "<u4").tolist())
-                == p._joined(np.frombuffer(own[k], "<u4").tolist())
-                for _, changed in found
-                for k, x in changed.items()
-            )
-            rows.append(
-                (
-                    len(found),
-                    len(ids),
-                    found[0][0],
-                    zlib.crc32(data),
-                    found[1][0] if len(found) > 1 else None,
-                    int(p.is_byte[ids].sum()),
-                    same and p.decode(listed) == t.replace(MARK, " "),
+        for texts in together(column.to_pylist()):
+            for t, (data, found, own) in zip(texts, p.ways_of_many(texts, n), strict=True):
+                ids = np.frombuffer(data, "<u4")
+                # The other ways differ in the parts they change, and must read the same there.
+                same = all(
+                    p._joined(np.frombuffer(x, "<u4").tolist())
+                    == p._joined(np.frombuffer(own[k], "<u4").tolist())
+                    for _, changed in found
+                    for k, x in changed.items()
+                )
+                rows.append(
+                    (
+                        len(found),
+                        len(ids),
+                        found[0][0],
+                        zlib.crc32(data),
+                        found[1][0] if len(found) > 1 else None,
+                        int(p.is_byte[ids].sum()),
+                        same and p.decode(ids.tolist()) == t.replace(MARK, " "),
+                    )
                 )
-            )
         return struct_column(rows, ENCODED_ARROW)
 
     return digest(text_or_empty(text))

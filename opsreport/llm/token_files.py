@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,10 +45,12 @@ MAGIC = b"TOKSHARD"
 END_ID = 1
 SHARD_TOKENS = 1 << 20
 BUCKET = 4
-#: Words remembered by a worker, at most twice; words encoded in one call; bytes of text at a time.
-MEMO = 500_000
+#: Bytes of words that a worker remembers, at most twice, and what a word takes; words encoded in
+#: one call; bytes of text at a time.
+MEMO = 64 << 20
+ENTRY = 220
 JOINED = 512
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 22
 
 SHARDS, SHARDS_ARROW = record(
     "part int, seq long, first_key long, last_key long, n_rows long, before long, n_ids long, shard binary"
@@ -199,7 +202,7 @@ class Shard:
 
 _ODD = re.compile(rb"[|<]")
 #: A comma or full stop between an ASCII letter and white space.
-_END = re.compile(rb"(?<=[A-Za-z])[.,](?=[ \t\n\x0b\x0c\r]|\Z)")
+_END = r"([A-Za-z])([.,])([ \t\n\x0b\x0c\r]|$)"
 
 
 class WordEncoder:
@@ -263,30 +266,46 @@ class WordEncoder:
         for w, ids in zip(odd, self._ids([w.decode() for w in odd]), strict=True):
             self.memo[w] = ids.tobytes()
 
-    def _parts(self, text: bytes) -> list[bytes]:
-        if self.folds and b"<|" not in text:
-            text = text.lower()
+    def _words(self, texts: list[str]) -> pa.LargeListArray:
+        column = pa.array(texts, pa.large_string())
+        if self.folds:
+            special = pc.match_substring(column, "<|")
+            column = pc.if_else(special, column, pc.ascii_lower(column))
         if self.end_alone:
-            text = _END.sub(rb" \g<0>", text)
-        return text.split()
+            column = pc.replace_substring_regex(column, pattern=_END, replacement=r"\1 \2\3")
+        return pc.ascii_split_whitespace(column)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.by_word:
-            return self._ids(texts)
-        words = [self._parts(t.encode("utf-8", "replace")) for t in texts]
+    def _known(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as bytes; words not remembered are encoded."""
         memo = self.memo
-        missing: set[bytes] = set()
-        for own in words:
-            missing.update(set(own).difference(memo))
+        missing = {w for w in words if w not in memo}
         for w in missing & self.old.keys():
             memo[w] = self.old[w]
             missing.discard(w)
         if missing:
             self._learn(missing)
-        out = [np.frombuffer(b"".join(map(memo.__getitem__, own)), "<u4") for own in words]
-        if len(memo) > MEMO:
+        found = [memo[w] for w in words]
+        if ENTRY * len(memo) > MEMO:
             self.old, self.memo = memo, {}
-        return out
+        return found
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text. The words of all texts are numbered at once, each different word is
+        looked up once, and ids are gathered by numbers."""
+        if not texts or not self.by_word:
+            return self._ids(texts)
+        words = self._words(texts)
+        coded = words.flatten().dictionary_encode()
+        found = self._known(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join(found), "<u4")
+        codes = coded.indices.to_numpy()
+        own = sizes[codes]
+        ends = np.cumsum(own)
+        ids = ids[np.repeat(starts[codes] - ends + own, own) + np.arange(own.sum())]
+        places = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        return np.split(ids, places[1:-1])
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
