@@ -8,13 +8,15 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from opsreport.functions import clean
 from opsreport.operators.consolidate import consolidate, limit_dates
 from opsreport.operators.timeaxis import DEFAULT_LOOK_BACK, resolve_range
 from opsreport.operators.treatment import treat
 from opsreport.plans.report import plant_report
+from opsreport.sources.quarantine import screen_inputs
 from opsreport.sources.snapshots import (
     PARTITION,
     read_snapshots,
@@ -44,6 +46,10 @@ class Store:
     def consolidated(self) -> str:
         return f"{self.root}/consolidated"
 
+    @property
+    def quarantine(self) -> str:
+        return f"{self.root}/quarantine"
+
 
 @dataclass
 class Outcome:
@@ -129,6 +135,30 @@ def run_report(
     return outcome
 
 
+def set_aside(
+    raw: dict[str, DataFrame],
+    store: Store,
+    since: datetime | None = None,
+    before: datetime | None = None,
+    at: datetime | None = None,
+) -> tuple[dict[str, DataFrame], int]:
+    """The rows of raw inputs that fit, and how many were written to the quarantine.
+
+    Rows are written with the time of the run, below the store; a run that is repeated writes
+    them again under its own time.
+    """
+    inputs, bad = screen_inputs(raw, since, before)
+    counted = Observation()
+    stamped = bad.withColumn("set_aside_at", clean.at(at or datetime.now()))
+    stamped.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(
+        store.quarantine
+    )
+    rows = counted.get["rows"]
+    if rows:
+        log.warning("%d rows do not fit their tables, see %s", rows, store.quarantine)
+    return inputs, rows
+
+
 def run_consolidation(
     spark: SparkSession, store: Store, limit: date | None, force: bool = False
 ) -> int:

@@ -175,18 +175,20 @@ TABLES: dict[str, Table] = {
 }
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
-    """Select a table's columns under our names and types, from source or own names."""
+def source_columns(df: DataFrame, name: str) -> list[tuple[str, str, T.DataType]]:
+    """(our name, name in ``df``, type) of a table's columns, found by source or own names."""
     have = set(df.columns)
     table = TABLES[name]
     missing = [src for ours, src, _ in table.columns if src not in have and ours not in have]
     if missing:
         raise ValueError(f"columns missing from {name}: {missing}")
+    return [(ours, src if src in have else ours, dtype) for ours, src, dtype in table.columns]
+
+
+def conform(df: DataFrame, name: str) -> DataFrame:
+    """Select a table's columns under our names and types, from source or own names."""
     return df.select(
-        [
-            F.col(src if src in have else ours).cast(dtype).alias(ours)
-            for ours, src, dtype in table.columns
-        ]
+        [F.col(src).cast(dtype).alias(ours) for ours, src, dtype in source_columns(df, name)]
     )
 
 

@@ -40,7 +40,7 @@ def jdbc_options(
     return options
 
 
-def read_source(
+def read_raw(
     spark: SparkSession,
     name: str,
     location: str | None = None,
@@ -49,11 +49,24 @@ def read_source(
     bounds: tuple[datetime, datetime] | None = None,
     partitions: int = 16,
 ) -> DataFrame:
-    """One input table under our names and types."""
+    """One input table as the source has it."""
     if fmt == "jdbc":
         options = jdbc_options(name, connection or {}, bounds, partitions)
-        return conform(spark.read.format("jdbc").options(**options).load(), name)
-    return conform(spark.read.format(fmt).load(f"{location}/{name}"), name)
+        return spark.read.format("jdbc").options(**options).load()
+    return spark.read.format(fmt).load(f"{location}/{name}")
+
+
+def read_source(
+    spark: SparkSession,
+    name: str,
+    location: str | None = None,
+    fmt: str = "parquet",
+    connection: Mapping[str, str] | None = None,
+    bounds: tuple[datetime, datetime] | None = None,
+    partitions: int = 16,
+) -> DataFrame:
+    """One input table under our names and types."""
+    return conform(read_raw(spark, name, location, fmt, connection, bounds, partitions), name)
 
 
 def read_inputs(

@@ -803,6 +803,26 @@ def plans_sql(budget: int | None) -> str:
 _FEED_COLUMNS = {n: zero(n) for n in _LINES}
 _PRODUCTION_COLUMNS = {n: n for n in ("mill_feed", "conc_t", "p80", *GRADES)}
 
+_FITTING = [
+    c.rstrip(")\n") + "\n WHERE event_id % 13 <> 0 AND event_id % 29 <> 0\n)"
+    if c.startswith("scale_readings AS")
+    else c
+    for c in FEED
+]
+_FAULTS = """SELECT 'scale_readings' AS "table",
+  CASE WHEN event_id % 29 = 0 AND event_id % 13 = 0 THEN 'ts: out of range; ipc_t: not double'
+       WHEN event_id % 29 = 0 THEN 'ts: out of range' ELSE 'ipc_t: not double' END AS reason,
+  CASE WHEN event_id % 29 = 0 THEN '2124' || substr(CAST(ts AS VARCHAR), 5)
+       ELSE CAST(ts AS VARCHAR) END AS ts
+FROM events WHERE event_id % 13 = 0 OR event_id % 29 = 0"""
+QUARANTINE = f"""SELECT "table", reason, TIMESTAMP '2024-02-01' AS set_aside_at, count(*) AS n,
+       (SELECT count(*) FROM ({_FAULTS})) AS "of", max(ts) AS "last"
+FROM ({_FAULTS}) GROUP BY "table", reason"""
+EMPTY_GUARD = """WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)
+SELECT CAST(k AS INTEGER) AS step, (SELECT count(*) FROM d WHERE CASE k
+         WHEN 0 THEN day(day) <= 10 WHEN 2 THEN day(day) BETWEEN 11 AND 20 ELSE false END) AS rows
+FROM range(4) r(k)"""
+
 ORACLE: dict[str, str] = {
     "daily_feed": with_(
         [*SPINE, *FEED],
@@ -849,5 +869,12 @@ ORACLE: dict[str, str] = {
     "multi_date_report": multi_date_sql(),
     "snapshot_roundtrip": SNAPSHOTS,
     "incremental_consolidation": SNAPSHOTS,
+    "screened_feed": with_(
+        [*SPINE, *_FITTING],
+        f"""SELECT spine.day, {half_up('hours')} AS hours, {rnd(_FEED_COLUMNS)}
+            FROM spine LEFT JOIN feed ON feed.day = spine.day""",
+    ),
+    "quarantine": QUARANTINE,
+    "empty_guard": EMPTY_GUARD,
     "report_run": report_run_sql(),
 }

@@ -36,9 +36,10 @@ from opsreport.operators.treatment import treat
 from opsreport.plans.columns import SCENARIO_SUFFIX, accumulated_columns, actual_columns
 from opsreport.plans.columns import plan_columns
 from opsreport.plans.incremental import refresh
-from opsreport.plans.jobs import Store, run
+from opsreport.plans.jobs import Store, run, set_aside
 from opsreport.plans.report import area_rates, day_facts, pinned, plant_report
 from opsreport.sources.codes import MOISTURE
+from opsreport.sources.quarantine import screened
 from opsreport.sources.snapshots import read_snapshots, write_consolidated, write_snapshot
 from workload.standins import plant, standin, tables
 
@@ -585,6 +586,60 @@ def incremental_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(refresh(spark, root, f"{root}-state", limit).table)
 
 
+#: Times of readings that can be.
+POSSIBLE = (datetime(2000, 1, 1), datetime(2100, 1, 1))
+
+
+def _raw_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scale readings as text, with words for numbers and times a century off among them."""
+    events = tables(spark, sf_dir, "events")["events"]
+    n, kind, bad = F.col("event_id"), F.col("event_type"), F.lit("-999")
+    ts, value = F.col("ts").cast("string"), F.col("value").cast("string")
+    missing = n % 17 == 0
+    return events.select(
+        F.when(n % 29 == 0, F.concat(F.lit("2124"), F.substring(ts, 5, 30))).otherwise(ts).alias("ts"),
+        F.when(n % 13 == 0, "n/a").when(missing, bad).when(kind == "click", value).alias("ipc_t"),
+        F.when(missing, bad).when(kind == "view", value).alias("mmd_t"),
+        F.when(kind == "purchase", value).alias("c160_t"),
+    )
+
+
+def screened_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crusher feed per shift day from the readings that fit; the dates of the others go on."""
+    good, _ = screened(_raw_scales(spark, sf_dir), "scale_readings", *POSSIBLE)
+    spine = _spine(spark, sf_dir)
+    feed = crusher_feed(good, standin(spark, sf_dir, "daily_factor"), spine)
+    lines = ["ipc_feed", "mmd_feed", "jaw_feed", "crusher_feed"]
+    out = spine.join(feed, "day", "left")
+    return rounded(out.select("day", "hours", *[or_zero(c).alias(c) for c in lines]))
+
+
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the same readings leave in quarantine, by reason."""
+    store = Store(_scratch(spark, "quarantine"))
+    raw = {"scale_readings": _raw_scales(spark, sf_dir)}
+    inputs, rows = set_aside(raw, store, *POSSIBLE, at=datetime(2024, 2, 1))
+    stored = spark.read.parquet(store.quarantine)
+    return stored.groupBy("table", "reason", "set_aside_at").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.lit(rows).cast("long").alias("of"),
+        F.max(F.get_json_object("row", "$.ts")).alias("last"),
+    )
+
+
+def empty_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows each write of a snapshot counted on its way; one finds nothing to write."""
+    root = _scratch(spark, "guard")
+    daily, _, _ = _event_days(spark, sf_dir)
+    first = F.dayofmonth("report_date")
+    steps = [first <= 10, first > 31, first <= 20, first == 5]
+    rows = [
+        (k, write_snapshot(daily.where(part), root, at=datetime(2024, 2, 1 + k)))
+        for k, part in enumerate(steps)
+    ]
+    return spark.createDataFrame(rows, "step int, rows long")
+
+
 def report_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole run over ten report dates, done twice, and its consolidated table.
 
@@ -631,5 +686,8 @@ QUERIES: dict[str, Query] = {
     "multi_date_report": multi_date_report,
     "snapshot_roundtrip": snapshot_roundtrip,
     "incremental_consolidation": incremental_consolidation,
+    "screened_feed": screened_feed,
+    "quarantine": quarantine,
+    "empty_guard": empty_guard,
     "report_run": report_run,
 }
