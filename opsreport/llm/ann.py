@@ -276,7 +276,11 @@ def nearest(
     vector_col: str = "embedding",
     confidence: float = CONFIDENCE,
 ) -> DataFrame:
-    """query_id, rank, vec_id, score: for each query the k largest inner products found."""
+    """query_id, rank, vec_id, score: for each query the k largest inner products found.
+
+    A query id given more than once is one query, with its least vector; repeated rows of
+    ``vectors`` are candidates of their own.
+    """
     all_rows = usable(vectors, id_col, vector_col)
     norm = F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)
     sizes = all_rows.groupBy(F.size("x").alias("dim")).agg(
@@ -294,6 +298,7 @@ def nearest(
     dim, rows, r2 = int(top["dim"]), int(top["n"]), float(top["r2"])
     all_rows = all_rows.where(F.size("x") == dim)
     asked = usable(queries, id_col, vector_col).where(F.size("x") == dim)
+    asked = asked.groupBy("id").agg(F.min("x").alias("x"))
     axes = directions(dim + 1)
     sample = (
         all_rows.orderBy(F.xxhash64("id"), "id").limit(min(SAMPLE, rows)).select("x").toArrow()

@@ -41,9 +41,14 @@ def _turn(t: Column) -> Column:
 
 def conversations_of(turns: DataFrame) -> DataFrame:
     """One row per conversation: conv_id and its escaped turns in order."""
-    text = lambda n: escape(F.coalesce(F.col(n).cast("string"), F.lit("")))
-    turn = F.struct("turn", text("role").alias("role"), text("text").alias("text"))
-    return turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    said = lambda n: F.coalesce(F.col(n).cast("string"), F.lit("")).alias(n)
+    turn = F.struct("turn", said("role"), said("text"))
+    # Put in order as they are; escapes would change the order.
+    escaped = lambda t: F.struct(
+        t["turn"].alias("turn"), escape(t["role"]).alias("role"), escape(t["text"]).alias("text")
+    )
+    ordered = F.transform(F.array_sort(F.collect_list(turn)), escaped)
+    return turns.groupBy("conv_id").agg(ordered.alias("turns"))
 
 
 def prefix_examples(turns: DataFrame) -> DataFrame:

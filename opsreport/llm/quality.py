@@ -4,7 +4,8 @@ Text that says little compresses too well, noise hardly at all. Every whole docu
 every fixed chunk of it is compressed with zstandard; a ratio (compressed to raw bytes)
 outside the limits for its length rejects. Word statistics of the base rules come along.
 
-Limits: ``DOC_BANDS`` by document bytes, ``CHUNK_BAND`` for chunks of ``CHUNK`` bytes. A
+Limits: ``DOC_BANDS`` by document bytes, ``CHUNK_BAND`` for chunks of ``CHUNK`` bytes, the last
+of which may overlap the one before, so that every byte of a text of that size is read. A
 document fails by its chunks if more than ``CHUNK_SHARE`` of them lie outside. Below
 ``SHORTEST`` bytes the header of the format weighs more than the text, so only the base
 rules decide. Null and empty texts have no words and fail the base rules; repeated rows
@@ -83,8 +84,9 @@ def doc_stats(data: bytes, zstd: zstandard.ZstdCompressor) -> tuple:
         ratio = len(zstd.compress(data)) / size
         _, least, most = DOC_BANDS[bisect_right(_STARTS, size) - 1]
         in_bands = least <= ratio <= most
-        if size >= 2 * CHUNK:
-            for at in range(0, size - CHUNK + 1, CHUNK):
+        if size >= CHUNK:
+            # What is left behind the last whole chunk is read as the last CHUNK bytes.
+            for at in [*range(0, size - CHUNK + 1, CHUNK), *([size - CHUNK] if size % CHUNK else [])]:
                 part = len(zstd.compress(data[at : at + CHUNK])) / CHUNK
                 n_chunks += 1
                 out += not CHUNK_BAND[0] <= part <= CHUNK_BAND[1]

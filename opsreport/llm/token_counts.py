@@ -1,6 +1,6 @@
 """Token counts: lengths of encodings, worked out in Arrow batches.
 
-Texts of an Arrow batch are cut into pieces of at most ``PIECE`` bytes at safe boundaries and
+Texts of an Arrow batch are cut into pieces of about ``PIECE`` characters at safe boundaries and
 gathered into calls of about ``CALL`` bytes, however long or short the texts are. Only the
 lengths leave the function.
 
@@ -103,7 +103,7 @@ def lengths(texts: list[str], path: str) -> list[int]:
                 continue
             owners.append(i)
             call.append(part)
-            size += len(part)
+            size += len(part.encode("utf-8", "replace"))
             if size >= CALL:
                 flush()
                 size = 0

@@ -78,3 +78,12 @@ def test_edges(spark):
     assert ann.nearest(empty, empty).count() == 0
     none = ann.nearest(df, empty)
     assert none.count() == 0 and none.columns == ["query_id", "rank", "vec_id", "score"]
+
+
+def test_a_query_given_twice_is_one_query(spark):
+    rows = [(i, [float(i % 7), 1.0, float(i % 3)], 0) for i in range(80)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    asked = df.where("vec_id = 20")
+    once = sorted(map(tuple, ann.nearest(df, asked).collect()))
+    twice = sorted(map(tuple, ann.nearest(df, asked.unionByName(asked)).collect()))
+    assert twice == once and len(once) == 20 and len({r[2] for r in once}) == 20

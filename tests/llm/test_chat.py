@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark.sql import functions as F
+
 from opsreport.llm import chat
 from opsreport.llm.queries import op8_prefix_examples
 
@@ -81,3 +83,12 @@ def test_very_long_text(spark):
     rows = [(1, 0, "user", "<|" * 500_000), (1, 1, "assistant", "y" * 1_000_000)]
     df = spark.createDataFrame(rows, TURNS)
     assert shown(chat.digests(chat.prefix_examples(df)).collect()) == plain(rows)
+
+
+def test_equal_turns_are_in_the_order_of_their_texts_as_they_are(spark):
+    rows = [(1, 0, "user", x) for x in ("<|x", "<a", "\\", "[", "<")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    whole = chat.prefix_examples(df).first()
+    got = chat.turns_of(F.col("text"))
+    said = spark.createDataFrame([(whole.text,)], "text string").select(got.alias("t")).first().t
+    assert [t["text"] for t in said] == sorted(r[3] for r in rows)

@@ -103,3 +103,24 @@ def test_edges(edges, nothing, clashing):
     kept = Q.keep_good(clashing)
     assert kept.columns == clashing.columns
     assert kept.where(F.col("doc_id") == 3).count() == 0
+
+
+def test_the_tail_of_a_text_is_read():
+    import random
+
+    import zstandard
+
+    from opsreport.llm.quality import CHUNK, CHUNK_BAND, doc_stats
+
+    zstd = zstandard.ZstdCompressor(level=3)
+    rng = random.Random(8)
+    clean = " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(4000)).encode()
+    junk = b"ab " * 2000
+    for head in (CHUNK - 100, CHUNK, 2 * CHUNK - 1, 3 * CHUNK - 1):
+        whole = len(zstd.compress(clean[-CHUNK:])) / CHUNK
+        assert CHUNK_BAND[0] <= whole <= CHUNK_BAND[1]
+        n_chunks, n_out = doc_stats(clean[:head] + junk[: CHUNK - 1], zstd)[7:9]
+        size = head + CHUNK - 1
+        assert n_chunks == size // CHUNK + (size % CHUNK > 0) and n_out >= 1
+        assert doc_stats(clean[: head + CHUNK], zstd)[8] == 0
+    assert doc_stats(clean[: CHUNK - 1], zstd)[7] == 0
