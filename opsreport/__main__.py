@@ -11,8 +11,8 @@ from datetime import date, datetime, time, timedelta
 from pyspark.sql import SparkSession
 
 from opsreport.operators.timeaxis import DEFAULT_LOOK_BACK, DateRange, resolve_range
-from opsreport.plans.jobs import run
-from opsreport.sources.tables import read_inputs
+from opsreport.plans.jobs import Store, run, set_aside
+from opsreport.sources.tables import read_inputs, read_raws
 
 # Repairs look back a month before the first month, shifted by some hours.
 MARGIN = timedelta(days=35)
@@ -51,6 +51,12 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     )
     parser.add_argument("--force", action="store_true", help="write stored dates anew")
     parser.add_argument("--plan-type", type=int, help="which plan counts as the budget")
+    parser.add_argument(
+        "--incremental", action="store_true", help="consolidate from a state, reading new snapshots"
+    )
+    parser.add_argument(
+        "--quarantine", action="store_true", help="set rows aside that do not fit their table"
+    )
     parser.add_argument("--lenient", action="store_true", help="go on without a report column")
     args = parser.parse_args(argv)
     if args.days is not None and (args.start_date or args.end_date):
@@ -75,15 +81,18 @@ def main(argv: list[str] | None = None) -> int:
     today = date.today()
     span = resolve_range(today, args.start_date, args.end_date, args.days, args.look_back)
     if args.jdbc:
-        inputs = read_inputs(
-            spark,
-            fmt="jdbc",
-            connection=connection(args),
-            bounds=time_bounds(span),
-            partitions=args.jdbc_partitions,
-        )
+        source = {
+            "fmt": "jdbc",
+            "connection": connection(args),
+            "bounds": time_bounds(span),
+            "partitions": args.jdbc_partitions,
+        }
+    else:
+        source = {"location": args.inputs, "fmt": args.format}
+    if args.quarantine:
+        inputs, _ = set_aside(read_raws(spark, **source), Store(args.store))
     else:
-        inputs = read_inputs(spark, args.inputs, args.format)
+        inputs = read_inputs(spark, **source)
     return run(
         spark,
         inputs,
@@ -96,6 +105,7 @@ def main(argv: list[str] | None = None) -> int:
         strict=not args.lenient,
         look_back=args.look_back,
         today=today,
+        incremental=args.incremental,
     )
 
 

@@ -152,6 +152,11 @@ def carry_forward(
     )
 
 
+def _effective_row(value: str) -> Column:
+    """The value of a date as a struct, which is there even if the value is NULL."""
+    return F.struct(F.col("_value").alias(value)).alias("_row")
+
+
 def latest_effective(
     asked: DataFrame,
     dim: DataFrame,
@@ -172,8 +177,8 @@ def latest_effective(
     rows = (
         dim.where(F.col(effective).isNotNull())
         .groupBy(*keys, F.col(effective).cast("timestamp_ntz").alias("_at"))
-        .agg(F.max(F.struct(value)).alias("_row"))
-        .withColumn("_side", F.lit(theirs))
+        .agg(F.max(value).alias("_value"))
+        .select(*keys, "_at", _effective_row(value), F.lit(theirs).alias("_side"))
     )
     merged = asked.withColumns(
         {"_at": F.col(at).cast("timestamp_ntz"), "_side": F.lit(mine)}
@@ -208,7 +213,8 @@ def effective_lookup(
     spans = (
         dim.where(F.col(effective).isNotNull())
         .groupBy(*keys, F.col(effective).cast("timestamp_ntz").alias("_from"))
-        .agg(F.max(F.struct(value)).alias("_row"))
+        .agg(F.max(value).alias("_value"))
+        .select(*keys, "_from", _effective_row(value))
     )
     until = F.lead("_from").over(Window.partitionBy(*keys).orderBy("_from"))
     spans = spans.withColumn("_until", until)

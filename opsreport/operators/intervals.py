@@ -1,10 +1,13 @@
-"""Readings assigned to the shift day that contains them."""
+"""Readings assigned to the shift day that contains them, and points to spans of any length."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opsreport.operators.asof import micros
+
+
 def assign_period(
     readings: DataFrame,
     spine: DataFrame,
@@ -26,3 +29,43 @@ def assign_period(
         .where((F.col(ts) >= F.col("start")) & (F.col(ts) < F.col("end")))
         .drop("_date")
     )
+
+
+#: A span is cut into cells of a sixteenth to an eighth of its length.
+_FINENESS = 3
+
+
+def _floor_log2(n: Column) -> Column:
+    return F.char_length(F.bin(n)) - 1
+
+
+def assign_spans(
+    points: DataFrame, spans: DataFrame, keys: list[str], ts: str = "ts"
+) -> DataFrame:
+    """Inner join of points to every span (``start``, ``end``) with ``start <= ts < end``.
+
+    Spans may overlap and be of any length, from a microsecond to many years. A span is
+    covered by cells whose width is a power of two near its own length, at most seventeen of
+    them; a point looks into one cell of every width that spans have. So neither a span of
+    years is spread over thousands of dates, nor do the many spans within one day share a key,
+    and at most two of a span's cells hold points outside of it. Spans without a start, an end
+    or a length hold nothing. ``keys`` are equal on both sides; names must not clash otherwise.
+
+    One pass over the spans finds the widths, of which there are sixty at most.
+    """
+    start, end = micros("start"), micros("end")
+    sized = spans.where(F.col("start") < F.col("end")).withColumn(
+        "_width", F.greatest(_floor_log2(end - start) - _FINENESS, F.lit(0))
+    )
+    widths = sorted(r[0] for r in sized.select("_width").distinct().collect())
+    cell = lambda at: F.call_function("shiftright", at, F.col("_width"))
+    filed = sized.withColumn("_cell", F.explode(F.sequence(cell(start), cell(end - 1))))
+    looked = points.where(F.col(ts).isNotNull()).withColumn(
+        "_width", F.explode(F.array(*[F.lit(w) for w in widths]).cast("array<int>"))
+    )
+    looked = looked.withColumn("_cell", cell(micros(ts)))
+    return (
+        looked.join(filed, [*keys, "_width", "_cell"])
+        .where((F.col(ts) >= F.col("start")) & (F.col(ts) < F.col("end")))
+        .drop("_width", "_cell")
+    )

@@ -15,6 +15,7 @@ from opsreport.functions import clean
 from opsreport.operators.consolidate import consolidate, limit_dates
 from opsreport.operators.timeaxis import DEFAULT_LOOK_BACK, resolve_range
 from opsreport.operators.treatment import treat
+from opsreport.plans.incremental import refresh
 from opsreport.plans.report import plant_report
 from opsreport.sources.quarantine import screen_inputs
 from opsreport.sources.snapshots import (
@@ -46,6 +47,10 @@ class Store:
     def consolidated(self) -> str:
         return f"{self.root}/consolidated"
 
+    @property
+    def state(self) -> str:
+        return f"{self.root}/state"
+
     @property
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
@@ -160,9 +165,25 @@ def set_aside(
 
 
 def run_consolidation(
-    spark: SparkSession, store: Store, limit: date | None, force: bool = False
+    spark: SparkSession,
+    store: Store,
+    limit: date | None,
+    force: bool = False,
+    incremental: bool = False,
 ) -> int:
-    """Consolidate all treated snapshots up to the limit; 1 when there is nothing to."""
+    """Consolidate all treated snapshots up to the limit; 1 when there is nothing to.
+
+    With ``incremental`` only snapshots that are new since the last run are read, and the
+    table is replaced by what they lead to.
+    """
+    if incremental:
+        done = refresh(spark, store.treated, store.state, limit)
+        if done is None:
+            log.error("nothing to consolidate in %s", store.treated)
+            return 1
+        summed = write_consolidated(done.table, store.consolidated, overwrite=True)
+        log.info("consolidated from %d new snapshots: %s", done.read, summed)
+        return 0
     snapshots = read_snapshots(spark, store.treated, limit)
     if snapshots is None or limit_dates(snapshots, "Data", limit).isEmpty():
         log.error("nothing to consolidate in %s", store.treated)
@@ -187,6 +208,7 @@ def run(
     strict: bool = True,
     look_back: int = DEFAULT_LOOK_BACK,
     today: date | None = None,
+    incremental: bool = False,
 ) -> int:
     """A whole run: resolve the range, write the snapshots, consolidate; 0 when done."""
     span = resolve_range(today or date.today(), start, end, days, look_back)
@@ -200,4 +222,4 @@ def run(
         len(outcome.skipped),
         len(outcome.failed),
     )
-    return run_consolidation(spark, store, span.limit, force)
+    return run_consolidation(spark, store, span.limit, force, incremental)

@@ -56,20 +56,22 @@ def narrowed(
 
     Every run of adjacent months has a range of its own.
     """
-    edges = {r["month"].date(): r for r in spine.groupBy("month").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.min("floor").alias("floor")
-    ).collect()}
+    # A pinned calendar is literal rows: no job runs for them.
+    shifts = spine.select("month", "start", "end", "floor").collect()
     days = days_back = ts_in = F.lit(False)
     ts, day = F.col("ts"), F.col("day")
     for first, after in month_runs(dates):
         midnight = [F.lit(d).cast("timestamp_ntz") for d in (first, after)]
         days = days | ((day >= midnight[0]) & (day < midnight[1]))
-        own = [r for m, r in edges.items() if first <= m < after and r["start"] and r["end"]]
+        own = [r for r in shifts if first <= r["month"].date() < after]
+        starts, ends, floors = (
+            [r[c] for r in own if r[c] is not None] for c in ("start", "end", "floor")
+        )
         # Without any shift in force no reading belongs to a day.
-        if own:
-            end = at(max(r["end"] for r in own))
-            ts_in = ts_in | ((ts >= at(min(r["start"] for r in own))) & (ts < end))
-            days_back = days_back | ((ts > at(min(r["floor"] for r in own))) & (ts < end))
+        if starts and ends:
+            end = at(max(ends))
+            ts_in = ts_in | ((ts >= at(min(starts))) & (ts < end))
+            days_back = days_back | ((ts > at(min(floors))) & (ts < end))
     out = dict(inputs)
     for name in READING_TABLES:
         out[name] = inputs[name].where(ts_in)

@@ -11,6 +11,7 @@ from opsreport.operators.consolidate import (
     union_by_name,
 )
 from opsreport.plans.incremental import refresh
+from opsreport.plans.jobs import Store, run_consolidation
 from opsreport.sources.snapshots import read_snapshots, write_snapshot
 
 SCHEMA = "report_date date, Data timestamp_ntz, x double, n int, ok boolean, note string"
@@ -78,3 +79,13 @@ def test_states_merge_in_any_order(spark, tmp_path):
         assert sorted(map(str, finished(right).collect())) == want
     again = merge_states(merge_states(days[0], days[0]), state_of(union_by_name([rows, rows])))
     assert sorted(map(str, finished(again).collect())) == want
+
+
+def test_a_run_may_consolidate_from_its_state(spark, tmp_path):
+    store, limit = Store(str(tmp_path)), date(2024, 1, 20)
+    assert run_consolidation(spark, store, limit, incremental=True) == 1
+    for k, days in enumerate((range(1, 4), range(4, 6))):
+        write_snapshot(snapshots(spark, k, days), store.treated, at=datetime(2024, 2, 1 + k))
+        assert run_consolidation(spark, store, limit, incremental=True) == 0
+        got = spark.read.parquet(store.consolidated).collect()
+        assert sorted(map(str, got)) == whole(spark, store.treated, limit)

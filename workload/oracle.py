@@ -818,6 +818,13 @@ FROM events WHERE event_id % 13 = 0 OR event_id % 29 = 0"""
 QUARANTINE = f"""SELECT "table", reason, TIMESTAMP '2024-02-01' AS set_aside_at, count(*) AS n,
        (SELECT count(*) FROM ({_FAULTS})) AS "of", max(ts) AS "last"
 FROM ({_FAULTS}) GROUP BY "table", reason"""
+OVERLAPPING_SPANS = """WITH spans AS (
+  SELECT event_type, event_id AS span, ts AS start, ts + INTERVAL 1 SECOND
+           * (CASE WHEN event_id % 50 = 0 THEN event_id * 7919 % 1209600
+                   ELSE event_id * 7919 % 3600 END + 1) AS "end" FROM events)
+SELECT e.event_id, count(*) AS n, min(s.span) AS "first", max(s."end") AS until
+FROM events e JOIN spans s ON e.event_type = s.event_type AND s.start <= e.ts AND e.ts < s."end"
+GROUP BY e.event_id"""
 EMPTY_GUARD = """WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)
 SELECT CAST(k AS INTEGER) AS step, (SELECT count(*) FROM d WHERE CASE k
          WHEN 0 THEN day(day) <= 10 WHEN 2 THEN day(day) BETWEEN 11 AND 20 ELSE false END) AS rows
@@ -869,6 +876,7 @@ ORACLE: dict[str, str] = {
     "multi_date_report": multi_date_sql(),
     "snapshot_roundtrip": SNAPSHOTS,
     "incremental_consolidation": SNAPSHOTS,
+    "overlapping_spans": OVERLAPPING_SPANS,
     "screened_feed": with_(
         [*SPINE, *_FITTING],
         f"""SELECT spine.day, {half_up('hours')} AS hours, {rnd(_FEED_COLUMNS)}

@@ -20,7 +20,7 @@ from opsreport.operators.accumulate import (
 )
 from opsreport.operators.asof import carry_forward, effective_lookup, month_factors
 from opsreport.operators.consolidate import consolidate, limit_dates, summarize, union_by_name
-from opsreport.operators.intervals import assign_period
+from opsreport.operators.intervals import assign_period, assign_spans
 from opsreport.operators.pivots import area_plan_pivot, kpi_pivot, production_plan_pivot
 from opsreport.operators.readings import (
     attach_grades,
@@ -528,7 +528,8 @@ def _scratch(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that executors share")
         shared = spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/{name}-{datetime.now():%Y%m%d%H%M%S%f}"
@@ -586,6 +587,24 @@ def incremental_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(refresh(spark, root, f"{root}-state", limit).table)
 
 
+def overlapping_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events within the spans that events of the same kind open, of a second to two weeks."""
+    events = tables(spark, sf_dir, "events")["events"]
+    n = F.col("event_id")
+    # Mostly short ones; every 50th is long.
+    seconds = F.when(n % 50 == 0, (n * 7919) % 1_209_600).otherwise((n * 7919) % 3600) + 1
+    spans = events.select(
+        "event_type",
+        n.alias("span"),
+        F.col("ts").alias("start"),
+        F.timestamp_add("SECOND", seconds, F.col("ts")).alias("end"),
+    )
+    held = assign_spans(events.select("event_id", "event_type", "ts"), spans, ["event_type"])
+    return held.groupBy("event_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("span").alias("first"), F.max("end").alias("until")
+    )
+
+
 #: Times of readings that can be.
 POSSIBLE = (datetime(2000, 1, 1), datetime(2100, 1, 1))
 
@@ -686,6 +705,7 @@ QUERIES: dict[str, Query] = {
     "multi_date_report": multi_date_report,
     "snapshot_roundtrip": snapshot_roundtrip,
     "incremental_consolidation": incremental_consolidation,
+    "overlapping_spans": overlapping_spans,
     "screened_feed": screened_feed,
     "quarantine": quarantine,
     "empty_guard": empty_guard,
