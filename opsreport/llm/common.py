@@ -36,11 +36,15 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Row groups of written tables; what a writer holds of whole texts before it lets go of them.
+ROW_GROUP = 16 << 20
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows written as Parquet in the shared folder and read again: cuts the lineage."""
     spark = df.sparkSession
     folder = shared_folder(spark, name)
-    df.write.parquet(folder)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -354,7 +354,8 @@ def near_duplicate_classes(
     later = member.where("rep <> doc_id").select("doc_id", "h1", "h2").distinct()
     reps = worded.join(later, ["doc_id", "h1", "h2"], "left_anti").select("doc_id", "n", "sketch")
     # A document of several texts ties those together that they are copies of.
-    several = member.groupBy("doc_id").agg(F.count_distinct("h1", "h2").alias("k")).where("k > 1")
+    spread = [f(c).alias(f"{n}_{c}") for c in ("h1", "h2") for n, f in (("lo", F.min), ("hi", F.max))]
+    several = member.groupBy("doc_id").agg(*spread).where("lo_h1 <> hi_h1 or lo_h2 <> hi_h2")
     ties = written(
         member.join(several, "doc_id", "left_semi")
         .where("rep <> doc_id")
