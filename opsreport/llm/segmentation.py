@@ -12,11 +12,12 @@ less 10.
 
 Where no piece has the mark of a space after another character, which is checked on loading,
 every space begins a new part of the lattice that no piece crosses. The best ways of a part are
-found by the two passes above; the best and the loss of the second are remembered by a worker.
+found by the two passes above.
 The N best of the text come from the same search over the chain of parts: the best takes every
 part's best, and the N best change at most N - 1 parts, which are among the N - 1 whose second
 way loses least. Within a part the lattice falls apart once more wherever no piece holds two
-neighbouring characters side by side. A model with other pieces is searched over its whole lattice.
+neighbouring characters side by side; the best between two such places and the loss of the second
+are remembered by a worker, within a bound of bytes. A model with other pieces is searched over its whole lattice.
 
 Equal scores come in the order in which the search meets them: what was met last goes on first,
 and between parts the later part changes first. Texts keep all characters: the decoder turns marks
@@ -43,11 +44,10 @@ from opsreport.llm.common import record, struct_column, text_or_empty
 
 MARK = "▁"
 N_BEST = 4
-#: Bytes of parts, and of pieces of parts between safe places, that a worker remembers, at most
-#: twice; about what an entry takes beside its text and ids.
-MEMO = 64 << 20
-CUTS = 96 << 20
-ENTRY = 300
+#: Bytes of pieces of parts between safe places that a worker remembers, at most twice; about
+#: what an entry takes beside its text and ids.
+MEMO = 128 << 20
+ENTRY = 250
 #: Characters of text whose parts are numbered and looked up together.
 TOGETHER = 1 << 22
 UNKNOWN_PENALTY = 10.0
@@ -107,9 +107,7 @@ class Pieces:
         self.longest = max(map(len, self.id), default=1)
         self.cuts: dict[str, tuple[float, float, bytes]] = {}
         self.old_cuts: dict[str, tuple[float, float, bytes]] = {}
-        self.cut_bytes = self.memo_bytes = 0
-        self.memo: dict[str, tuple[float, float, bytes]] = {}
-        self.old: dict[str, tuple[float, float, bytes]] = {}
+        self.cut_bytes = 0
         # What an id stands for in a text; bytes above 127 as escapes that go back to bytes.
         self.shown = [p.replace(MARK, " ") for p in self.piece]
         self.is_byte = np.zeros(len(self.piece), bool)
@@ -202,21 +200,23 @@ class Pieces:
         held = self.side_by_side[known[:-1], known[1:]]
         return np.union1d(np.flatnonzero(~held) + 1, stops).tolist()
 
-    def _learn(self, parts: set[str]) -> None:
-        """For each part: score of the best, loss of the second, ids of the best."""
-        for part in parts & self.old.keys():
-            self.memo[part] = known = self.old[part]
-            self.memo_bytes += ENTRY + 2 * len(part) + len(known[2])
-            parts.discard(part)
-        if self.cut_bytes > CUTS:
+    def looked_up(self, parts: list[str]) -> list[tuple[float, float, bytes]]:
+        """Score of the best, loss of the second and ids of the best, of different parts.
+
+        What lies between two safe places comes back in many parts; it is searched once and
+        remembered.
+        """
+        if self.cut_bytes > MEMO:
             self.old_cuts, self.cuts, self.cut_bytes = self.cuts, {}, 0
         cuts, old_cuts = self.cuts, self.old_cuts
-        todo = list(parts)
-        text, stops = "".join(todo), np.cumsum([len(x) for x in todo])
+        if not parts:
+            return []
+        text, stops = "".join(parts), np.cumsum([len(x) for x in parts])
         places = iter(self._cut_ends(text, stops))
         at = 0
-        for part, stop in zip(todo, stops.tolist(), strict=True):
-            best, loss, ids = 0.0, float("inf"), b""
+        out = []
+        for stop in stops.tolist():
+            whole: tuple[float, float, bytes] | None = None
             for k in places:
                 cut = text[at:k]
                 known = cuts.get(cut)
@@ -227,11 +227,17 @@ class Pieces:
                         known = (score, second, pack(f"<{len(one)}I", *one))
                     cuts[cut] = known
                     self.cut_bytes += ENTRY + 2 * len(cut) + len(known[2])
-                best, loss, ids, at = best + known[0], min(loss, known[1]), ids + known[2], k
+                if whole is None:
+                    whole = known
+                else:
+                    a, b, c = whole
+                    d, e, f = known
+                    whole = (a + d, b if b < e else e, c + f)
+                at = k
                 if k == stop:
                     break
-            self.memo[part] = (best, loss, ids)
-            self.memo_bytes += ENTRY + 2 * len(part) + len(ids)
+            out.append(whole)
+        return out
 
     # -- texts
 
@@ -242,15 +248,6 @@ class Pieces:
         marked = MARK + text.replace(" ", MARK)
         return _PARTS.findall(marked) if self.parted else [marked]
 
-    def looked_up(self, parts: list[str]) -> list[tuple[float, float, bytes]]:
-        """Score of the best, loss of the second and ids of the best, of different parts."""
-        if self.memo_bytes > MEMO:
-            self.old, self.memo, self.memo_bytes = self.memo, {}, 0
-        missing = {p for p in parts if p not in self.memo}
-        if missing:
-            self._learn(missing)
-        return list(map(self.memo.__getitem__, parts))
-
     def _joined_ways(
         self, parts: list[str], best: float, losses: list[float] | np.ndarray, n: int
     ) -> list[tuple[float, dict[int, bytes]]]:
