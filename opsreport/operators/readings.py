@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsreport.functions.aggregates import positive_weighted_mean
+from opsreport.functions.aggregates import positive_weighted_mean, stable_sum
 from opsreport.functions.clean import (
     DEFAULT_MOISTURE,
     DEFAULT_SCALE_FACTOR,
@@ -30,15 +30,15 @@ def factored_sum(
     Equal to joining every reading with every factor row of its day and taking
     ``avg(factor) * sum(measure)``, but both sides are summed up before they meet, so
     the join has one row per day and a day with many rows costs nothing extra. A day
-    without a factor row disappears; a NULL factor counts as 1.
+    without a factor row disappears; a NULL factor counts as 1. Sums do not depend on the
+    order of the rows. (A mean times its count is the sum of the factors.)
     """
-    totals = readings.groupBy(day).agg(*[F.sum(m).alias(n) for n, m in measures.items()])
-    rates = factors.groupBy(day).agg(
-        F.avg(F.coalesce("factor", F.lit(DEFAULT_SCALE_FACTOR))).alias("_mean"),
-        F.count(F.lit(1)).alias("_copies"),
+    totals = readings.groupBy(day).agg(*[stable_sum(m).alias(n) for n, m in measures.items()])
+    factor = F.coalesce(F.col("factor").cast("double"), F.lit(DEFAULT_SCALE_FACTOR))
+    rates = factors.groupBy(day).agg(stable_sum(factor).alias("_scale"))
+    return totals.join(rates, day).select(
+        day, *[(F.col("_scale") * F.col(n)).alias(n) for n in measures]
     )
-    scale = F.col("_mean") * F.col("_copies")
-    return totals.join(rates, day).select(day, *[(scale * F.col(n)).alias(n) for n in measures])
 
 
 def crusher_feed(scales: DataFrame, factors: DataFrame, spine: DataFrame) -> DataFrame:
