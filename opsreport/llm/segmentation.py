@@ -46,10 +46,10 @@ MARK = "▁"
 N_BEST = 4
 #: Bytes of pieces of parts between safe places that a worker remembers, at most twice; about
 #: what an entry takes beside its text and ids.
-MEMO = 128 << 20
+MEMO = 64 << 20
 ENTRY = 250
 #: Characters of text whose parts are numbered and looked up together.
-TOGETHER = 1 << 22
+TOGETHER = 1 << 20
 UNKNOWN_PENALTY = 10.0
 
 ENCODED, ENCODED_ARROW = record(
