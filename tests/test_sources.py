@@ -128,3 +128,49 @@ def test_no_more_than_a_few_rows_are_joined_for_each_match(spark):
     with mock.patch.object(DataFrame, "where", lambda self, c: self):
         loose = assign_spans(points, spans, ["k"]).count()
     assert matches <= loose <= 1.5 * matches
+
+
+def test_totals_of_spans_equal_those_of_the_pairs(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    start = datetime(1969, 12, 31)
+    spans = [("a", 901, start, start), ("a", 902, None, start)]
+    spans.append((None, 900, start, start + timedelta(days=1)))
+    for i in range(200):
+        a = start + timedelta(microseconds=rng.randrange(2 * 86_400 * 10**6))
+        spans.append((rng.choice("ab"), i, a, a + timedelta(microseconds=10 ** rng.randrange(13))))
+    moment = lambda: start + timedelta(milliseconds=rng.randrange(2 * 86_400_000))
+    points = [(i % 500, rng.choice("abc"), moment()) for i in range(600)]
+    points += [(None, s[0], s[2]) for s in spans[:40]] + [(600 + s[1], s[0], s[3]) for s in spans]
+    # More points in a microsecond than a leaf may hold.
+    crowd = [(2000 + i % 3, "a", spans[53][2]) for i in range(300)]
+    totals = {
+        "n": (F.count(F.lit(1)), F.sum),
+        "least": (F.min("s"), F.min),
+        "until": (F.max("end"), F.max),
+    }
+    held = spark.createDataFrame(spans, "k string, s int, start timestamp_ntz, end timestamp_ntz")
+    for some in (points, points + crowd, []):
+        at = spark.createDataFrame(some, "i int, k string, ts timestamp_ntz")
+        pairs = assign_spans(at, held, ["k"])
+        want = pairs.groupBy("i").agg(*[made.alias(n) for n, (made, _) in totals.items()])
+        got = assign_spans(at, held, ["k"], by=["i"], totals=totals)
+        key = lambda df: sorted(map(str, df.collect()))
+        assert key(got) == key(want) and got.columns == want.columns
+
+
+def test_exploded_spans_are_not_broadcast(spark):
+    from pyspark.sql import functions as F
+
+    spans = spark.range(50).selectExpr(
+        "'a' as k", "id as s", "timestampadd(SECOND, int(id), timestamp_ntz'2024-01-01') as start",
+        "timestampadd(SECOND, int(id * 90 + 90), timestamp_ntz'2024-01-01') as end",
+    )
+    points = spans.selectExpr("k", "s as i", "end as ts")
+    totals = {"n": (F.count(F.lit(1)), F.sum)}
+    for joined in (
+        assign_spans(points, spans, ["k"]),
+        assign_spans(points, spans, ["k"], by=["i"], totals=totals),
+    ):
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()

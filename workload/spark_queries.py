@@ -599,10 +599,13 @@ def overlapping_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("start"),
         F.timestamp_add("SECOND", seconds, F.col("ts")).alias("end"),
     )
-    held = assign_spans(events.select("event_id", "event_type", "ts"), spans, ["event_type"])
-    return held.groupBy("event_id").agg(
-        F.count(F.lit(1)).alias("n"), F.min("span").alias("first"), F.max("end").alias("until")
-    )
+    totals = {
+        "n": (F.count(F.lit(1)), F.sum),
+        "first": (F.min("span"), F.min),
+        "until": (F.max("end"), F.max),
+    }
+    points = events.select("event_id", "event_type", "ts")
+    return assign_spans(points, spans, ["event_type"], by=["event_id"], totals=totals)
 
 
 #: Times of readings that can be.
