@@ -57,6 +57,25 @@ def test_memory_of_words_turns_over(monkeypatch):
         assert e.encode([text])[0].tolist() == ids_of(text)[:-1]
 
 
+def test_words_of_small_letters_need_the_model_alone(monkeypatch):
+    e = TF.WordEncoder(PATH)
+    texts = ["thndhain élève, größe ÿøß", "Ending oft### naïve?! thndhain."]
+    want = [ids_of(t)[:-1] for t in texts]
+    e.encode(["### ?! , ."])
+    asked = []
+    whole = e._ids
+    monkeypatch.setattr(e, "_ids", lambda texts: asked.extend(texts) or whole(texts))
+    assert [x.tolist() for x in e.encode(texts)] == want
+    assert not asked
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abéßÿ÷×ÀÞµª.,;:!?#$%&*'’ \ń", max_size=30))
+def test_letters_and_marks_give_the_ids_of_whole_texts(text):
+    got = TF.encoder(PATH).encode([text])[0].tolist()
+    assert got == WHOLE.encode(text, add_special_tokens=False).ids
+
+
 def test_other_tokenizers_take_whole_texts():
     e = TF.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
     assert not e.by_word
