@@ -50,6 +50,10 @@ MEMO = 64 << 20
 ENTRY = 250
 #: Characters of text whose parts are numbered and looked up together.
 TOGETHER = 1 << 20
+#: Characters of the longest text between safe places that is searched along with others, and of
+#: all that are searched at once.
+SHORT = 40
+AT_ONCE = 1 << 17
 UNKNOWN_PENALTY = 10.0
 
 ENCODED, ENCODED_ARROW = record(
@@ -105,6 +109,7 @@ class Pieces:
             own = self.number[[ord(c) for c in p]]
             self.side_by_side[own[:-1], own[1:]] = True
         self.longest = max(map(len, self.id), default=1)
+        self._number_trie(len(letters) + 1)
         self.cuts: dict[str, tuple[float, float, bytes]] = {}
         self.old_cuts: dict[str, tuple[float, float, bytes]] = {}
         self.cut_bytes = 0
@@ -115,6 +120,27 @@ class Pieces:
             self.is_byte[i] = True
             self.shown[i] = chr(value) if value < 128 else chr(0xDC00 + value)
 
+    def _number_trie(self, letters: int) -> None:
+        """The trie as columns: node * letters + letter leads to a node, which may end a piece."""
+        step: dict[int, int] = {}
+        ends = [(float("-inf"), -1)]
+        for p, i in self.id.items():
+            node = 0
+            for c in self.number[[ord(c) for c in p]].tolist():
+                node = step.setdefault(node * letters + c, len(ends))
+                if node == len(ends):
+                    ends.append((float("-inf"), -1))
+            ends[node] = (self.score[i], i)
+        self.letters = letters
+        self.steps = np.array(sorted(step), np.int64)
+        self.leads_to = np.array([step[k] for k in self.steps.tolist()], np.int32)
+        self.end_score = np.array([x for x, _ in ends], np.float64)
+        self.end_id = np.array([i for _, i in ends], np.int32)
+        # Which letters are pieces themselves.
+        self.alone = np.zeros(letters, bool)
+        for c in (c for c in self.id if len(c) == 1):
+            self.alone[self.number[ord(c)]] = True
+
     # -- the lattice
 
     def _forward(self, text: str) -> tuple[list[list[tuple]], list[float]]:
@@ -192,13 +218,93 @@ class Pieces:
             place, own, ids = to, own + score, taken + ids
         return best, best - second, ids
 
-    def _cut_ends(self, text: str, stops: np.ndarray) -> list[int]:
+    def _hits(self, known: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Score and id of the piece of each length at each place; ``left`` characters follow."""
+        score = np.full((self.longest, len(known)), float("-inf"))
+        ids = np.full((self.longest, len(known)), -1, np.int32)
+        at, node = np.arange(len(known)), np.zeros(len(known), np.int64)
+        for k in range(self.longest):
+            within = left[at] > k
+            at, node = at[within], node[within]
+            if not len(at):
+                break
+            key = node * self.letters + known[at + k]
+            to = np.minimum(np.searchsorted(self.steps, key), len(self.steps) - 1)
+            hit = self.steps[to] == key
+            at, node = at[hit], self.leads_to[to[hit]].astype(np.int64)
+            score[k, at], ids[k, at] = self.end_score[node], self.end_id[node]
+        return score, ids
+
+    def _best_two_of(
+        self, known: np.ndarray, sizes: np.ndarray
+    ) -> list[tuple[float, float, bytes]]:
+        """``best_two`` of many texts whose letters are pieces themselves, one place of all of
+        them at a time. The second leaves the best way at one place for the last time, so it
+        loses the least of what the second way to a place of the best loses there."""
+        order = np.argsort(-sizes, kind="stable")
+        starts, size = (np.cumsum(sizes) - sizes)[order], sizes[order]
+        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(known))
+        score, ids = self._hits(known, left)
+        top = int(size[0])
+        best = np.zeros((top + 1, len(size)))
+        lost, length = np.zeros_like(best), np.zeros(best.shape, np.int32)
+        for end in range(1, top + 1):
+            n = int(np.searchsorted(-size, -end, side="right"))
+            first = np.full(n, float("-inf"))
+            second, own = first.copy(), np.zeros(n, np.int32)
+            for k in range(min(end, self.longest), 0, -1):
+                way = best[end - k, :n] + score[k - 1, starts[:n] + (end - k)]
+                taken = way >= first
+                second = np.where(taken, first, np.maximum(second, way))
+                first = np.where(taken, way, first)
+                own[taken] = k
+            best[end, :n], lost[end, :n], length[end, :n] = first, first - second, own
+        loss, place, on = np.full(len(size), float("inf")), size.copy(), np.arange(len(size))
+        way = np.full(len(known), -1, np.int32)
+        while len(on):
+            end = place[on]
+            k = length[end, on]
+            loss[on] = np.minimum(loss[on], lost[end, on])
+            begin = starts[on] + end - k
+            way[begin] = ids[k - 1, begin]
+            place[on] = end - k
+            on = on[place[on] > 0]
+        total, back = best[size, np.arange(len(size))], np.argsort(order)
+        data = way[way >= 0].astype("<u4").tobytes()
+        ends = 4 * np.cumsum(way >= 0)[np.cumsum(sizes) - 1]
+        bounds = [0, *ends.tolist()]
+        ways = [data[x:y] for x, y in zip(bounds, bounds[1:])]
+        return list(zip(total[back].tolist(), loss[back].tolist(), ways, strict=True))
+
+    def _learnt(self, cuts: list[str]) -> Iterator[tuple[str, tuple[float, float, bytes]]]:
+        """Each text between safe places with what is remembered of it."""
+        points = np.frombuffer("".join(cuts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        known = self.number[points].astype(np.int64)
+        sizes = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        starts = np.cumsum(sizes) - sizes
+        many = np.logical_and.reduceat(self.alone[known], starts) & (sizes <= SHORT)
+        for k in np.flatnonzero(~many).tolist():
+            score, second, one = self.best_two(cuts[k])
+            yield cuts[k], (score, second, pack(f"<{len(one)}I", *one))
+        some = np.flatnonzero(many)
+        known, sizes = known[np.repeat(many, sizes)], sizes[some]
+        ends = np.cumsum(sizes)
+        groups = np.flatnonzero(np.diff((ends - sizes) // AT_ONCE)) + 1
+        for rows, own in zip(np.split(some, groups), np.split(sizes, groups), strict=True):
+            if len(rows):
+                found = self._best_two_of(known[: own.sum()], own)
+                known = known[own.sum() :]
+                yield from zip([cuts[k] for k in rows.tolist()], found, strict=True)
+
+    def _cut_ends(self, text: str, stops: np.ndarray) -> np.ndarray:
         """Places no piece crosses, as none holds the two characters side by side, and the
         given ones."""
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         known = self.number[points]
-        held = self.side_by_side[known[:-1], known[1:]]
-        return np.union1d(np.flatnonzero(~held) + 1, stops).tolist()
+        cut = np.zeros(len(points) + 1, bool)
+        cut[1:-1] = ~self.side_by_side[known[:-1], known[1:]]
+        cut[stops] = True
+        return np.flatnonzero(cut)
 
     def looked_up(self, parts: list[str]) -> list[tuple[float, float, bytes]]:
         """Score of the best, loss of the second and ids of the best, of different parts.
@@ -208,36 +314,29 @@ class Pieces:
         """
         if self.cut_bytes > MEMO:
             self.old_cuts, self.cuts, self.cut_bytes = self.cuts, {}, 0
-        cuts, old_cuts = self.cuts, self.old_cuts
         if not parts:
             return []
         text, stops = "".join(parts), np.cumsum([len(x) for x in parts])
-        places = iter(self._cut_ends(text, stops))
-        at = 0
-        out = []
-        for stop in stops.tolist():
-            whole: tuple[float, float, bytes] | None = None
-            for k in places:
-                cut = text[at:k]
-                known = cuts.get(cut)
-                if known is None:
-                    known = old_cuts.get(cut)
-                    if known is None:
-                        score, second, one = self.best_two(cut)
-                        known = (score, second, pack(f"<{len(one)}I", *one))
-                    cuts[cut] = known
-                    self.cut_bytes += ENTRY + 2 * len(cut) + len(known[2])
-                if whole is None:
-                    whole = known
-                else:
-                    a, b, c = whole
-                    d, e, f = known
-                    whole = (a + d, b if b < e else e, c + f)
-                at = k
-                if k == stop:
-                    break
-            out.append(whole)
-        return out
+        places = self._cut_ends(text, stops)
+        bounds = places.tolist()
+        own = [text[x:y] for x, y in zip([0, *bounds], bounds)]
+        found = list(map(self.cuts.get, own))
+        new = list(dict.fromkeys([x for x, known in zip(own, found, strict=True) if known is None]))
+        if new:
+            old = self.old_cuts
+            self.cuts.update((x, old[x]) for x in new if x in old)
+            unknown = [x for x in new if x not in old]
+            if unknown:
+                self.cuts.update(self._learnt(unknown))
+            self.cut_bytes += sum(ENTRY + 2 * len(x) + len(self.cuts[x][2]) for x in new)
+            found = list(map(self.cuts.__getitem__, own))
+        firsts = np.concatenate([[0], np.searchsorted(places, stops) + 1])
+        scores, losses = (np.array([x[k] for x in found], np.float64) for k in (0, 1))
+        scores = np.add.reduceat(scores, firsts[:-1]).tolist()
+        losses = np.minimum.reduceat(losses, firsts[:-1]).tolist()
+        data, at = [x[2] for x in found], firsts.tolist()
+        ids = [data[x] if y == x + 1 else b"".join(data[x:y]) for x, y in zip(at, at[1:])]
+        return list(zip(scores, losses, ids, strict=True))
 
     # -- texts
 

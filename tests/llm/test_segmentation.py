@@ -83,3 +83,25 @@ def test_memory_turns_over(monkeypatch):
     for k in range(20):
         text = f"some words, number {k} and more{k % 3}."
         assert fresh.encode(text, 3) == S.pieces(PATH).encode(text, 3)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="theing.,é日aonti", min_size=1, max_size=50), min_size=1, max_size=30))
+def test_texts_searched_together_equal_each_alone(texts):
+    p = S.pieces(PATH)
+    found = dict(p._learnt(list(dict.fromkeys(texts))))
+    for text, (score, loss, ids) in found.items():
+        best, less, own = p.best_two(text)
+        assert (score, loss, ids) == (best, less, np.array(own, "<u4").tobytes())
+    assert set(found) == set(texts)
+
+
+def test_short_texts_are_searched_together(monkeypatch):
+    p = S.Pieces(PATH)
+    texts = ["some plain words of a text.", "other wordsandmorewords, too", ""]
+    want = [p.encode(t, 3) for t in texts]
+    p = S.Pieces(PATH)
+    alone = []
+    monkeypatch.setattr(S, "AT_ONCE", 10)
+    monkeypatch.setattr(S.Pieces, "best_two", lambda self, text: alone.append(text) or (0.0, 0.0, ()))
+    assert [p.encode(t, 3) for t in texts] == want and not alone
