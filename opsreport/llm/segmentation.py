@@ -31,11 +31,12 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -46,14 +47,16 @@ MARK = "▁"
 N_BEST = 4
 #: Bytes of pieces of parts between safe places that a worker remembers, at most twice; about
 #: what an entry takes beside its text and ids.
-MEMO = 64 << 20
-ENTRY = 250
+MEMO = 32 << 20
+ENTRY = 330
 #: Characters of text whose parts are numbered and looked up together.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 21
+#: Short parts whose n best ways are remembered.
+NEAR = 4096
 #: Characters of the longest text between safe places that is searched along with others, and of
 #: all that are searched at once.
 SHORT = 40
-AT_ONCE = 1 << 17
+AT_ONCE = 1 << 16
 UNKNOWN_PENALTY = 10.0
 
 ENCODED, ENCODED_ARROW = record(
@@ -113,12 +116,15 @@ class Pieces:
         self.cuts: dict[str, tuple[float, float, bytes]] = {}
         self.old_cuts: dict[str, tuple[float, float, bytes]] = {}
         self.cut_bytes = 0
+        self.near: dict[tuple[str, int], list[Segmentation]] = {}
         # What an id stands for in a text; bytes above 127 as escapes that go back to bytes.
         self.shown = [p.replace(MARK, " ") for p in self.piece]
         self.is_byte = np.zeros(len(self.piece), bool)
         for i, value in self.byte_of.items():
             self.is_byte[i] = True
             self.shown[i] = chr(value) if value < 128 else chr(0xDC00 + value)
+        shown = [x.encode("utf-8", "surrogateescape") for x in self.shown]
+        self.shown_bytes = pa.array(shown, pa.large_binary())
 
     def _number_trie(self, letters: int) -> None:
         """The trie as columns: node * letters + letter leads to a node, which may end a piece."""
@@ -347,12 +353,24 @@ class Pieces:
         marked = MARK + text.replace(" ", MARK)
         return _PARTS.findall(marked) if self.parted else [marked]
 
+    def _others(self, part: str, n: int) -> list[Segmentation]:
+        """``n_best`` of a part; texts often share the ones that lose least, so some short ones
+        are remembered."""
+        if len(part) > SHORT:
+            return self.n_best(part, n)
+        found = self.near.get((part, n))
+        if found is None:
+            if len(self.near) >= NEAR:
+                self.near.clear()
+            found = self.near[part, n] = self.n_best(part, n)
+        return found
+
     def _joined_ways(
-        self, parts: list[str], best: float, losses: list[float] | np.ndarray, n: int
+        self, part: Callable[[int], str], best: float, losses: list[float] | np.ndarray, n: int
     ) -> list[tuple[float, dict[int, bytes]]]:
         """Up to n ways through the parts: (score, {part: other ids})."""
         near = nearest_parts(losses, n)
-        others = [self.n_best(parts[k], n) for k in near]
+        others = [self._others(part(k), n) for k in near]
         out = []
         for loss, way in join_parts([[s for s, _ in found] for found in others], n):
             changed = {near[a]: np.array(others[a][c][1], "<u4").tobytes() for a, c in way}
@@ -365,27 +383,53 @@ class Pieces:
         different = list(dict.fromkeys(parts))
         known = dict(zip(different, self.looked_up(different), strict=True))
         own = [known[p] for p in parts]
-        found = self._joined_ways(parts, sum([x[0] for x in own]), [x[1] for x in own], n)
+        best, losses = sum([x[0] for x in own]), [x[1] for x in own]
+        found = self._joined_ways(parts.__getitem__, best, losses, n)
         return [x[2] for x in own], found
 
     def ways_of_many(self, texts: list[str], n: int) -> Iterator[tuple]:
         """For each text its ids, the ways, and for every part changed by one the ids of its
-        best. The parts of all texts are numbered at once; each different one is looked up once."""
-        split = [self.parts(t) for t in texts]
-        sizes = [len(x) for x in split]
-        column = pa.array([p for x in split for p in x], pa.large_string()).dictionary_encode()
-        known = self.looked_up(column.dictionary.to_pylist())
-        codes = column.indices.to_numpy()
+        best. The parts of all texts are numbered at once, each different one is looked up once,
+        and ids are gathered by numbers. Texts that do not hold single spaces alone are parted
+        one by one."""
+        odd = [not t or t[0] == " " or t[-1] == " " or "  " in t or MARK in t for t in texts]
+        plain = [t for t, o in zip(texts, odd, strict=True) if not o]
+        rest = [t for t, o in zip(texts, odd, strict=True) if o]
+        groups = [self._ways_of(x, n, k) for k, x in enumerate((plain, rest))]
+        for o in odd:
+            yield next(groups[o])
+
+    def _ways_of(self, texts: list[str], n: int, odd: int) -> Iterator[tuple]:
+        if odd or not self.parted:
+            split = [self.parts(t) for t in texts]
+            places = np.cumsum([0, *map(len, split)])
+            column = pa.array([p for x in split for p in x], pa.large_string())
+        else:
+            # Single spaces between characters: what lies between them is a part but for its mark.
+            found = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+            column, places = found.flatten(), found.offsets.to_numpy()
+        coded = column.dictionary_encode()
+        parts = coded.dictionary.to_pylist()
+        if self.parted and not odd:
+            parts = [MARK + p for p in parts]
+        known = self.looked_up(parts)
         best, losses = (np.array([x[k] for x in known], np.float64) for k in (0, 1))
         data = [x[2] for x in known]
-        at = 0
-        for parts, size in zip(split, sizes, strict=True):
-            own = codes[at : at + size]
-            at += size
-            score = sum(best[own].tolist())
-            found = self._joined_ways(parts, score, losses[own], n)
-            first = {k: data[own[k]] for _, changed in found for k in changed}
-            yield b"".join(map(data.__getitem__, own.tolist())), found, first
+        del known
+        sizes = np.fromiter(map(len, data), np.int64, len(data)) // 4
+        starts = np.cumsum(sizes) - sizes
+        codes = coded.indices.to_numpy()
+        ids = np.frombuffer(b"".join(data), "<u4")
+        del coded, column
+        for x, y in zip(places[:-1].tolist(), places[1:].tolist()):
+            at = codes[x:y]
+            lost, own = losses[at], sizes[at]
+            ends = np.cumsum(own)
+            whole = ids[np.repeat(starts[at] - ends + own, own) + np.arange(own.sum())]
+            part = lambda j: parts[at[j]]  # noqa: B023, E731
+            found = self._joined_ways(part, sum(best[at].tolist()), lost, n)
+            first = {j: data[at[j]] for _, changed in found for j in changed}
+            yield whole, found, first
 
     def encode(self, text: str, n: int = N_BEST) -> list[Segmentation]:
         """Up to n segmentations of a text, best first."""
@@ -400,6 +444,12 @@ class Pieces:
         """The text of ids; the prefix space goes."""
         return self._joined(ids)[1:]
 
+    def reads(self, ids: np.ndarray, text: str) -> bool:
+        """Whether ids decode to the text."""
+        shown = self.shown_bytes.take(pa.array(ids)).buffers()[2]
+        same = (shown.to_pybytes() if shown else b"")[1:] == text.encode("utf-8", "surrogatepass")
+        return same or self.decode(ids.tolist()) == text
+
     def _joined(self, ids: tuple[int, ...] | list[int]) -> str:
         text = "".join(map(self.shown.__getitem__, ids))
         return text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
@@ -497,8 +547,7 @@ def segmentation_digest(text: str | Column, path: str, n: int = N_BEST) -> Colum
         p = pieces(path)
         rows = []
         for texts in together(column.to_pylist()):
-            for t, (data, found, own) in zip(texts, p.ways_of_many(texts, n), strict=True):
-                ids = np.frombuffer(data, "<u4")
+            for t, (ids, found, own) in zip(texts, p.ways_of_many(texts, n), strict=True):
                 # The other ways differ in the parts they change, and must read the same there.
                 same = all(
                     p._joined(np.frombuffer(x, "<u4").tolist())
@@ -511,10 +560,10 @@ def segmentation_digest(text: str | Column, path: str, n: int = N_BEST) -> Colum
                         len(found),
                         len(ids),
                         found[0][0],
-                        zlib.crc32(data),
+                        zlib.crc32(ids),
                         found[1][0] if len(found) > 1 else None,
                         int(p.is_byte[ids].sum()),
-                        same and p.decode(ids.tolist()) == t.replace(MARK, " "),
+                        same and p.reads(ids, t.replace(MARK, " ")),
                     )
                 )
         return struct_column(rows, ENCODED_ARROW)

@@ -96,6 +96,15 @@ def test_texts_searched_together_equal_each_alone(texts):
     assert set(found) == set(texts)
 
 
+def test_texts_of_all_kinds_keep_their_order():
+    p = S.Pieces(PATH)
+    texts = ["two words", "", " x", "a  b", "plain text, here.", f"a{S.MARK}b", "é\n日 x", "end "]
+    for text, (ids, found, _) in zip(texts, p.ways_of_many(texts, 3), strict=True):
+        want = p.encode(text, 3)
+        assert tuple(ids.tolist()) == want[0][1] and [s for s, _ in found] == [s for s, _ in want]
+        assert p.reads(ids, text.replace(S.MARK, " ")) and not p.reads(ids, text + "x")
+
+
 def test_short_texts_are_searched_together(monkeypatch):
     p = S.Pieces(PATH)
     texts = ["some plain words of a text.", "other wordsandmorewords, too", ""]
